@@ -88,12 +88,17 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0] : off[-1]], off - off[0]
 
 
-def word_bounds(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: As SPACE, with all ASCII punctuation: what remains are words without it.
+PUNCT = SPACE.copy()
+PUNCT[[c for c in range(128) if not chr(c).isalnum()]] = True
+
+
+def word_bounds(data: np.ndarray, off: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of each run of other bytes than white space; no word spans two rows. Third: each row's first word, one entry more than rows."""
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
-    solid = ~SPACE[data]
+    solid = ~space[data]
     cut = np.zeros(n + 1, bool)
     cut[off] = True
     before = np.ones(n, bool)
@@ -105,14 +110,14 @@ def word_bounds(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return start, end, np.searchsorted(start, off)
 
 
-def words(column) -> tuple[np.ndarray, np.ndarray]:
+def words(column, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased, and each row's first word (one entry more than rows).
 
     A polynomial over the bytes' random codes, by prefix sums in windows; equal words have equal hashes wherever they stand.
     Different words share one with probability about pairs / 2**64.
     """
     data, off = text_bytes(column)
-    start, end, first = word_bounds(data, off)
+    start, end, first = word_bounds(data, off, space)
     out = np.empty(len(start), np.uint64)
     i = 0
     while i < len(start):

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from . import language_id, mixing, secret_scan
+from . import decontamination, language_id, mixing, secret_scan, top_k, warc
 
 
 def queries() -> dict:
     return {
+        "op1_warc": warc.op1_warc,
         "op5_secret_scan": secret_scan.op5_secret_scan,
         "op6_language_id": language_id.op6_language_id,
         "op7_mix_sources": mixing.op7_mix_sources,
+        "op8_top_k": top_k.op8_top_k,
+        "op9_decontamination": decontamination.op9_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mix_sources": mixing.OP7_SQL}
+    return {"op1_warc": warc.OP1_SQL, "op8_top_k": top_k.OP8_SQL, "op7_mix_sources": mixing.OP7_SQL}
