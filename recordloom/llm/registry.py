@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontamination, language_id, mixing, secret_scan, top_k, warc
+from . import decontamination, jaccard_join, language_id, mixing, secret_scan, top_k, warc
 
 
 def queries() -> dict:
     return {
         "op1_warc": warc.op1_warc,
+        "op3_jaccard_join": jaccard_join.op3_jaccard_join,
         "op5_secret_scan": secret_scan.op5_secret_scan,
         "op6_language_id": language_id.op6_language_id,
         "op7_mix_sources": mixing.op7_mix_sources,
@@ -17,4 +18,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": warc.OP1_SQL, "op8_top_k": top_k.OP8_SQL, "op7_mix_sources": mixing.OP7_SQL}
+    return {"op1_warc": warc.OP1_SQL, "op3_jaccard_join": jaccard_join.OP3_SQL, "op8_top_k": top_k.OP8_SQL, "op7_mix_sources": mixing.OP7_SQL}

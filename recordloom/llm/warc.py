@@ -90,7 +90,7 @@ def chain(offset: np.ndarray, size: np.ndarray) -> np.ndarray:
     for _ in range(max(1, n).bit_length() + 1):
         reach[jump[reach]] = True
         jump = jump[jump]
-    return reach[:n]
+    return reach[:n] & (size > 0)
 
 
 _CHAIN = "file string, block long, seq long, record long, part int, parts int, page_id long, refers_to long, record_type string, url string, declared string, full_bytes long, payload_bytes long, payload_digest string"
