@@ -1,0 +1 @@
+"""No streaming operators: record linkage here is batch only (block counts, ranks and thresholds need all records)."""
