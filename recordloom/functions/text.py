@@ -8,6 +8,7 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Words that carry no information, and texts that stand for a missing value.
 NAME_STOP = ["and", "associates", "business", "company", "co", "corp", "corporation", "group", "inc", "incorporated", "international", "limited", "llc", "llp", "ltd", "of", "private", "public", "services", "solutions", "the", "trading"]
@@ -57,7 +58,7 @@ def normalized_list(c: Column) -> Column:
     return F.when(F.coalesce(c, F.lit("")) == "", F.lit("")).otherwise(F.array_join(F.transform(F.split(c, ","), strip), ","))
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _nfkc(c: pa.Array) -> pa.Array:
     return pa.array([None if x is None else unicodedata.normalize("NFKC", x) for x in c.to_pylist()], pa.string())
 
@@ -166,7 +167,7 @@ def sigmoid(z: Column, clip: float = 30.0) -> Column:
     return 1 / (1 + F.exp(-F.greatest(F.lit(-clip), F.least(F.lit(clip), z))))
 
 
-@F.arrow_udf("int")
+@F.arrow_udf(T.IntegerType())
 def validation_group(entity_id: pa.Array) -> pa.Array:
     """0 to 4 by BLAKE2b of the id; group 0 validates."""
     digest = lambda x: int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8, person=b"aml-split").digest(), "big") % 5
