@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
@@ -14,7 +15,7 @@ WEIGHTS, SHARE, MAX_EPOCHS, SEED = (3, 1, 2), 1.5, 2, "mix"
 DIGITS = 3
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def n_words(text: pa.Array) -> pa.Array:
     data, off = common.text_bytes(text)
     return pa.array(np.diff(common.word_bounds(data, off)[2]), pa.int64())
