@@ -25,6 +25,7 @@ TOKENS = 8
 # Characters whose case folding isn't their lower case, by Python's Unicode tables.
 _FOLDS = {c: c.casefold() for c in map(chr, range(0x80, 0x110000)) if c.casefold() != c.lower()}
 _ONE = {a: b for a, b in _FOLDS.items() if len(b) == 1}
+_ONE["Σ"] = "σ"  # at a word's end its lower case would be another letter
 _MORE = {a: b for a, b in _FOLDS.items() if len(b) > 1}
 #: Digits in the sense of str.isdigit, as a character class.
 DIGIT = "\\p{Nd}" + "".join(c for c in map(chr, range(0x110000)) if c.isdigit() and unicodedata.category(c) != "Nd")
