@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,5 +59,15 @@ FIXED = [((i * 7) % 11 - 3) / 10 for i in range(len(features.NAMES))]
 BIAS = -2.0
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again: else filters on a score would pull all features' expressions in again."""
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="recordloom-")
+    path = f"{root.rstrip('/')}/recordloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.score(pairs(spark, sf_dir), model.Model({2: FIXED, 3: FIXED}, {2: BIAS, 3: BIAS}))
+    model_ = model.Model({2: FIXED, 3: FIXED}, {2: BIAS, 3: BIAS})
+    return stored(model.score(pairs(spark, sf_dir), model_).select("src", "s1", "cand", "score"))
