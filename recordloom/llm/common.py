@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -37,6 +38,18 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+@contextlib.contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """While it lasts, Arrow batches have at most so many rows: for wide rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -29,6 +29,8 @@ BUCKET, FLUSH = 1_500_000, 1_500_000
 #: Rounds that compare a group's members with one of them, before all that are still apart are compared; that comes at once
 #: where it means no more pairs than this.
 STARS, PAIRS = 6, 200_000
+#: Bits of a parity sketch. Members of a group, about, that meet as many others in one task; a larger group is cut into such blocks.
+BITS, MEET = 1024, 1000
 
 
 def _bands() -> list[int]:
@@ -96,6 +98,21 @@ def _sets(column):
         yield np.unique(grams[begin[k] : begin[k + 1]])
 
 
+def sketch(x: np.ndarray) -> bytes:
+    """For each of BITS places whether an odd number of the set's elements hash to it. An element that only one of two sets has changes
+    one bit, so that sketches differ in no more bits than the sets in elements: similar sets in at most (a + b) / 7."""
+    return np.packbits(np.bincount((x % np.uint64(BITS)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes()
+
+
+def _may_link(n: np.ndarray, m: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether sets of n and m elements with these sketches (rows of 64-bit words) can be similar."""
+    return (np.minimum(n, m) * 4 >= np.maximum(n, m) * 3) & (np.bitwise_count(x ^ y).sum(axis=-1) <= (n + m) // 7)
+
+
+def _words(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), BITS // 64)
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     if min(len(a), len(b)) * 4 < max(len(a), len(b)) * 3:
         return False
@@ -109,12 +126,13 @@ def _digests(batches):
     for batch in batches:
         hashes, first = common.words(batch.column("text"))
         grams, begin = common.shingles(hashes, first, WORDS)
-        n, key = [], []
+        n, key, bits = [], [], []
         for k in range(len(begin) - 1):
             g = np.unique(grams[begin[k] : begin[k + 1]])
             n.append(len(g))
             key.append(hashlib.blake2b(g.tobytes(), digest_size=16).digest() if len(g) else None)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.binary())], ["doc_id", "n_shingles", "key"])
+            bits.append(sketch(g) if len(g) else None)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary())], ["doc_id", "n_shingles", "key", "sketch"])
 
 
 def _postings(frequent, buckets: int):
@@ -167,29 +185,30 @@ def _check(batches):
         yield batch.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _across(batches):
-    """members and their components: all pairs that lie in different ones, in batches of a bounded size."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    n = 0
+def _may(batches):
+    for batch in batches:
+        on = _may_link(batch.column("n").to_numpy(), batch.column("m").to_numpy(), _words(batch.column("x")), _words(batch.column("y")))
+        yield batch.select(["u", "v"]).filter(pa.array(on, pa.bool_()))
 
-    def out():
-        u, v = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
 
+def _across(batches):
+    """Two blocks of a group, or one block with itself, a row: the pairs across components that can be similar."""
     for batch in batches:
         flat, size = batch.column("g").flatten(), batch.column("g").value_lengths().to_numpy()
-        ids, comp, ends = flat.field("doc").to_numpy(), flat.field("component").to_numpy(), np.cumsum(size)
-        for a, b in zip(ends - size, ends):
-            for i in range(a, b - 1, step := max(1, 500_000 // (b - a))):
-                j, k = np.nonzero(np.arange(a, b)[None, :] > np.arange(i, min(i + step, b))[:, None])
-                on = comp[i + j] != comp[a + k]
-                held.append((ids[i + j[on]], ids[a + k[on]]))
-                n += len(held[-1][0])
-                if n >= 200_000:
-                    yield out()
-                    held, n = [], 0
-    if held:
-        yield out()
+        ids, comp, n, block, ends = *(flat.field(c).to_numpy() for c in ("doc", "component", "n", "block")), np.cumsum(size)
+        bits, low, high = _words(flat.field("sketch")), batch.column("low").to_numpy(), batch.column("high").to_numpy()
+        for a, b, lo, hi in zip(ends - size, ends, low, high):
+            at = np.arange(a, b)
+            left = at[block[at] == lo]
+            right = at[block[at] == hi]
+            for i in range(0, len(left), step := max(1, 50_000 // max(1, len(right)))):
+                j, k = np.meshgrid(left[i : i + step], right, indexing="ij")
+                on = (comp[j] != comp[k]) if lo != hi else (comp[j] != comp[k]) & (ids[j] < ids[k])
+                j, k = j[on], k[on]
+                on = _may_link(n[j], n[k], bits[j], bits[k])
+                u, v = ids[j[on]], ids[k[on]]
+                if len(u):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
 
 
 def join(docs: DataFrame, work: str) -> DataFrame:
@@ -202,7 +221,7 @@ def join(docs: DataFrame, work: str) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    every = common.table(docs.mapInArrow(_digests, "doc_id long, n_shingles long, key binary"), f"{work}/digests")
+    every = common.table(docs.mapInArrow(_digests, "doc_id long, n_shingles long, key binary, sketch binary"), f"{work}/digests")
     known = every.where("key is not null and doc_id is not null")
     classes = common.table(known.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"), F.sum("n_shingles").alias("total")), f"{work}/classes")
     copies = classes.where("n > 1").select("key", "first")
@@ -232,8 +251,9 @@ def join(docs: DataFrame, work: str) -> DataFrame:
     large = common.table(groups.where(F.size("members") > 2).distinct().withColumn("group", F.xxhash64("members")), f"{work}/large")
     stars = large.select(F.col("members")[0].alias("u"), F.explode(F.slice("members", F.lit(2), F.size("members"))).alias("v"))
 
+    sketches = known.select("doc_id", F.col("n_shingles").alias("n"), "sketch")
     tried = common.table(pairs.unionByName(stars).distinct(), f"{work}/tried0")
-    links = _verify(texts, tried, f"{work}/verify0")
+    links = _verify(texts, sketches, tried, f"{work}/verify0")
     found = later.unionByName(links)
     comp = components(links, f"{work}/components0")
     last = False
@@ -253,10 +273,10 @@ def join(docs: DataFrame, work: str) -> DataFrame:
             centre = common.table(rows.groupBy("group").agg(F.min(F.struct(F.xxhash64("doc", F.lit(k)).alias("h"), F.col("doc").alias("c"), F.col("component").alias("cc"))).alias("s")).select("group", "s.c", "s.cc"), f"{work}/centre{k}")
             new = rows.join(common.small(centre), "group").where("component <> cc").select(F.least("doc", "c").alias("u"), F.greatest("doc", "c").alias("v"))
         else:
-            new = rows.groupBy("group").agg(F.collect_list(F.struct("doc", "component")).alias("g")).select("g").mapInArrow(_across, "u long, v long")
+            new = _exhaustive(rows, sketches, f"{work}/blocks{k}")
         new = common.table(new.distinct().join(tried, ["u", "v"], "left_anti"), f"{work}/tried{k}")
         tried = tried.unionByName(new)
-        more = _verify(texts, new, f"{work}/verify{k}")
+        more = _verify(texts, sketches, new, f"{work}/verify{k}")
         found, links = found.unionByName(more), links.unionByName(more)
         if not more.isEmpty():
             comp = components(comp.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), f"{work}/components{k}")
@@ -272,17 +292,44 @@ def join(docs: DataFrame, work: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def _verify(texts: DataFrame, pairs: DataFrame, work: str) -> DataFrame:
-    """Of the pairs those whose sets are similar; only sets of documents in a pair are made, once."""
+def _of(sketches: DataFrame, ids: DataFrame, path: str) -> DataFrame:
+    """One row for each of the ids (doc_id, distinct)."""
+    some = common.table(sketches.join(common.small(ids), "doc_id", "left_semi"), path)
+    return some if some.count() == ids.count() else some.dropDuplicates(["doc_id"])
+
+
+def _exhaustive(rows: DataFrame, sketches: DataFrame, path: str) -> DataFrame:
+    """rows: (group, doc, component). Pairs of a group's members in different components that can be similar. Blocks of a group meet two by two."""
+    own = _of(sketches, common.table(rows.select(F.col("doc").alias("doc_id")).distinct(), f"{path}_ids"), f"{path}_sketches")
+    cuts = rows.groupBy("group").agg(F.ceil(F.count("*") / MEET).alias("cuts"))
+    placed = rows.join(common.small(common.table(cuts, f"{path}_cuts")), "group").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("cuts")))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
+    cells = placed.join(own.withColumnRenamed("doc_id", "doc"), "doc").groupBy("group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    held = common.table(cells.agg(F.collect_list(F.struct("doc", "component", "n", "block", "sketch")).alias("g")), f"{path}_cells")
+    with common.batch_rows(rows.sparkSession, 50):
+        return common.table(held.select("low", "high", "g").mapInArrow(_across, "u long, v long"), f"{path}_pairs")
+
+
+def _verify(texts: DataFrame, sketches: DataFrame, pairs: DataFrame, work: str) -> DataFrame:
+    """Of the pairs those whose sets are similar. Pairs whose sketches differ too much go first; only sets of documents in the others are made, once."""
+
+    def two(sides, c):
+        left, right = (sides.select(F.col("doc_id").alias(k), *[F.col(a).alias(b) for a, b in zip(c, n)]) for k, n in (("u", ("x", "n")), ("v", ("y", "m"))))
+        return pairs.join(right, "v").join(left, "u")
+
+    need = common.table(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), f"{work}/asked")
+    pairs = common.table(two(_of(sketches, need, f"{work}/sketches"), ("sketch", "n")).select("u", "v", "x", "y", "n", "m").mapInArrow(_may, "u long, v long"), f"{work}/may")
     need = common.table(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), f"{work}/need")
 
     def sets(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in _sets(batch.column("text"))], pa.binary())], ["doc_id", "x"])
 
-    made = common.table(texts.join(common.small(need), "doc_id", "left_semi").mapInArrow(sets, "doc_id long, x binary").dropDuplicates(["doc_id"]), f"{work}/sets")
-    both = pairs.join(made.select(F.col("doc_id").alias("v"), F.col("x").alias("y")), "v").join(made.withColumnRenamed("doc_id", "u"), "u").select("u", "v", "x", "y")
-    return common.table(both.mapInArrow(_check, "u long, v long"), f"{work}/links")
+    made = common.table(texts.join(common.small(need), "doc_id", "left_semi").mapInArrow(sets, "doc_id long, x binary").where("octet_length(x) > 0"), f"{work}/sets")
+    if made.count() != need.count():
+        made = made.dropDuplicates(["doc_id"])
+    with common.batch_rows(texts.sparkSession, 100):
+        return common.table(two(made, ("x",)).select("u", "v", "x", "y").mapInArrow(_check, "u long, v long"), f"{work}/links")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
