@@ -24,6 +24,10 @@ def _tokens(t):
 
 def test_jaccard_join_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PAIRS", 10)
+    monkeypatch.setattr(jaccard_join, "MEET", 7)
+    met = []
+    exhaustive = jaccard_join._exhaustive
+    monkeypatch.setattr(jaccard_join, "_exhaustive", lambda *a: met.append(1) or exhaustive(*a))
     rng = random.Random(3)
     base = [f"w{rng.randrange(400)}" for _ in range(60)]
     rows = [(0, None), (1, ""), (2, " \t\n"), (3, "a b"), (4, "A  b"), (5, "a b c")]
@@ -54,9 +58,21 @@ def test_jaccard_join_against_brute_force(spark, monkeypatch):
                 parent[y] = x
     got = [tuple(r)[:3] for r in jaccard_join.join(_docs(spark, rows).repartition(3), common.shared_dir(spark)).collect()]
     assert sorted(got) == sorted((i, len(sets[i]), find(i)) for i, _ in rows)
+    assert met
     assert jaccard_join.join(_docs(spark, []), common.shared_dir(spark)).collect() == []
 
 
+def test_sketches_never_part_similar_sets():
+    rng = np.random.default_rng(6)
+    word = lambda x: np.frombuffer(jaccard_join.sketch(x), np.uint64)
+    for n in (1, 4, 7, 60, 900, 9000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for lost in {0, n // 8, n // 7, n // 4, n // 2}:
+            b = np.unique(np.append(a[: n - lost], rng.integers(0, 2**63, lost // 3).astype(np.uint64)))
+            if len(b) and jaccard_join.similar(a, b):
+                assert jaccard_join._may_link(np.array([len(a)]), np.array([len(b)]), word(a)[None], word(b)[None]).all()
+
+
 @pytest.mark.parametrize("one", [10**6, 0])
 def test_components(spark, monkeypatch, one):
     from recordloom.llm import components as module
