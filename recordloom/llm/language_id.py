@@ -22,12 +22,18 @@ _LOWER[48:58] = 48
 _CODES = common.mix(np.arange(301, 557, dtype=np.uint64))
 
 
-def _features(data: np.ndarray) -> list[np.ndarray]:
-    """For each order, the feature of the n-gram that ends at each byte."""
+def _features(data: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+    """For each order, the feature of the n-gram that ends at each byte; none reaches back over a text's beginning (`begin`, ascending)."""
     codes = _CODES[_LOWER[data]]
+    begin = begin[begin < len(codes)]
     out, h = [], np.zeros(len(codes), np.uint64)
     for n in range(ORDERS):
-        h = codes.copy() if n == 0 else codes + np.uint64(0x9E3779B97F4A7C15) * np.concatenate([np.full(1, 7, np.uint64), h[:-1]])
+        if n:
+            before = np.roll(h, 1)
+            before[begin] = 7
+            h = codes + np.uint64(0x9E3779B97F4A7C15) * before
+        else:
+            h = codes.copy()
         out.append((common.mix(h + np.uint64(n)) >> np.uint64(64 - BITS)).astype(np.int64))
     return out
 
@@ -46,9 +52,12 @@ def _windows(off: np.ndarray):
 
 
 def _row_sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
-    sums = np.zeros((values.shape[0], values.shape[1] + 1))
-    np.cumsum(values, axis=1, out=sums[:, 1:])
-    return sums[:, off[1:]] - sums[:, off[:-1]]
+    """Each row's sum, by itself: it doesn't depend on what rows stand beside it."""
+    out = np.zeros(len(off) - 1)
+    some = np.flatnonzero(np.diff(off))
+    if len(some):
+        out[some] = np.add.reduceat(values, off[some], dtype=np.float64)
+    return out
 
 
 def train(labelled: DataFrame, bits: int = BITS) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -66,7 +75,7 @@ def train(labelled: DataFrame, bits: int = BITS) -> tuple[list[str], np.ndarray,
                 sums = total.setdefault(lang, np.zeros(1 << bits, np.int64))
                 for r in rows:
                     for a in range(int(off[r]), int(off[r + 1]), _WINDOW):
-                        for f in _features(data[a : min(a + _WINDOW, int(off[r + 1]))]):
+                        for f in _features(data[a : min(a + _WINDOW, int(off[r + 1]))], np.zeros(1, np.int64)):
                             np.add.at(sums, f, 1) if len(f) < 64 else sums.__iadd__(np.bincount(f, minlength=1 << bits))
         yield pa.RecordBatch.from_pydict({"lang": list(total), "docs": pa.array([docs[k] for k in total], pa.int64()), "counts": pa.array([v.tobytes() for v in total.values()], pa.binary())})
 
@@ -101,10 +110,11 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) ->
         if langs:
             for i, j, a, b in _windows(off):
                 if b > a:
-                    features, at = _features(data[a:b]), np.clip(off[i : j + 1], a, b) - a
+                    at = np.clip(off[i : j + 1], a, b) - a
+                    features = _features(data[a:b], at[:-1])
                     for k in range(len(langs)):
                         weight = logp[k]
-                        sums[k : k + 1, i:j] += _row_sums(sum(weight[f] for f in features)[None, :], at)
+                        sums[k, i:j] += _row_sums(sum(weight[f] for f in features), at)
             # An n-gram of each order ends at each byte; they overlap, so that their evidence counts once.
             z = sums / ORDERS + prior[:, None]
             z -= z.max(axis=0, keepdims=True)
