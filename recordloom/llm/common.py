@@ -63,7 +63,8 @@ def crc_mod(column: str, n: int):
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
-_WINDOW = 1 << 20
+#: Bytes that are hashed at once: they fit a cache, and a worker needs little memory beside its batch.
+_WINDOW = 1 << 17
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

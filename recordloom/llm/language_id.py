@@ -14,7 +14,7 @@ from . import common
 ORDERS, BITS, SAMPLE_DOCS = 3, 15, 40_000
 #: Languages at most, by documents taught: with 2**BITS features each this bounds what is broadcast (16 MB).
 MAX_LANGS = 128
-_WINDOW = 1 << 20
+_WINDOW = 1 << 18
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LOWER[[9, 10, 11, 12, 13]] = 32
@@ -51,6 +51,12 @@ def _windows(off: np.ndarray):
         i = j
 
 
+def _piece(data: np.ndarray, begin: np.ndarray, a: int, b: int) -> list[np.ndarray]:
+    """The features of the bytes [a, b) of texts that begin at `begin`; a text cut at a is read as if it weren't."""
+    lead = int(min(ORDERS - 1, max(0, a - begin[0])))
+    return [f[lead:] for f in _features(data[a - lead : b], np.maximum(begin - (a - lead), 0))]
+
+
 def _row_sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Each row's sum, by itself: it doesn't depend on what rows stand beside it."""
     out = np.zeros(len(off) - 1)
@@ -75,7 +81,7 @@ def train(labelled: DataFrame, bits: int = BITS) -> tuple[list[str], np.ndarray,
                 sums = total.setdefault(lang, np.zeros(1 << bits, np.int64))
                 for r in rows:
                     for a in range(int(off[r]), int(off[r + 1]), _WINDOW):
-                        for f in _features(data[a : min(a + _WINDOW, int(off[r + 1]))], np.zeros(1, np.int64)):
+                        for f in _piece(data, off[r : r + 1], a, min(a + _WINDOW, int(off[r + 1]))):
                             np.add.at(sums, f, 1) if len(f) < 64 else sums.__iadd__(np.bincount(f, minlength=1 << bits))
         yield pa.RecordBatch.from_pydict({"lang": list(total), "docs": pa.array([docs[k] for k in total], pa.int64()), "counts": pa.array([v.tobytes() for v in total.values()], pa.binary())})
 
@@ -110,8 +116,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) ->
         if langs:
             for i, j, a, b in _windows(off):
                 if b > a:
-                    at = np.clip(off[i : j + 1], a, b) - a
-                    features = _features(data[a:b], at[:-1])
+                    features, at = _piece(data, off[i:j], a, b), np.clip(off[i : j + 1], a, b) - a
                     for k in range(len(langs)):
                         weight = logp[k]
                         sums[k, i:j] += _row_sums(sum(weight[f] for f in features), at)

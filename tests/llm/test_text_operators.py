@@ -155,6 +155,11 @@ def test_language(spark):
     odd = spark.createDataFrame([(1, None, None), (2, "", None), (3, "12 %$ 3", None), (4, "the ing " * 300_000, None)], "doc_id long, text string, lang string")
     assert [r["lang_pred"] for r in language_id.predict(odd, fitted).orderBy("doc_id").collect()] == ["und", "und", "und", "en"]
     assert language_id.predict(odd, language_id.fit(df.limit(0), F.lit(True))).where("lang_pred <> 'und'").count() == 0
+    # A long text cut into pieces has the features of the whole.
+    data = np.frombuffer(b"the eau ing que " * 40, np.uint8)
+    whole = language_id._features(data, np.zeros(1, np.int64))
+    cut = [language_id._piece(data, np.zeros(1, np.int64), a, min(a + 7, len(data))) for a in range(0, len(data), 7)]
+    assert all((np.concatenate([c[n] for c in cut]) == whole[n]).all() for n in range(language_id.ORDERS))
     # A text's prediction is the same whatever texts share its batch, to the last bit.
     short = spark.createDataFrame([(i, t) for i, t in enumerate(["é", "w", "", "th", None, "eau", "12", "ou", "g", "que the"] * 20)], "doc_id long, text string")
     beside = {tuple(r) for r in language_id.predict(short.coalesce(1), fitted).select("text", "lang_pred", "score").collect()}
