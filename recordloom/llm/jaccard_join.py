@@ -25,7 +25,7 @@ WORDS = 5
 #: Documents, about, of the sample that names frequent shingles; they only set the order above, never what is found.
 SAMPLE_DOCS, FREQUENT, FREQUENT_MOST = 8000, 0.0005, 400_000
 #: Signatures, about, that one bucket takes; that a task holds back before it sends them.
-BUCKET, FLUSH = 1_500_000, 1_500_000
+BUCKET, FLUSH = 750_000, 500_000
 #: Rounds that compare a group's members with one of them, before all that are still apart are compared; that comes at once
 #: where it means no more pairs than this.
 STARS, PAIRS = 6, 200_000
@@ -306,7 +306,7 @@ def _exhaustive(rows: DataFrame, sketches: DataFrame, path: str) -> DataFrame:
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
     cells = placed.join(own.withColumnRenamed("doc_id", "doc"), "doc").groupBy("group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     held = common.table(cells.agg(F.collect_list(F.struct("doc", "component", "n", "block", "sketch")).alias("g")), f"{path}_cells")
-    with common.batch_rows(rows.sparkSession, 50):
+    with common.batch_rows(rows.sparkSession, 10):
         return common.table(held.select("low", "high", "g").mapInArrow(_across, "u long, v long"), f"{path}_pairs")
 
 
@@ -328,7 +328,7 @@ def _verify(texts: DataFrame, sketches: DataFrame, pairs: DataFrame, work: str)
     made = common.table(texts.join(common.small(need), "doc_id", "left_semi").mapInArrow(sets, "doc_id long, x binary").where("octet_length(x) > 0"), f"{work}/sets")
     if made.count() != need.count():
         made = made.dropDuplicates(["doc_id"])
-    with common.batch_rows(texts.sparkSession, 100):
+    with common.batch_rows(texts.sparkSession, 25):
         return common.table(two(made, ("x",)).select("u", "v", "x", "y").mapInArrow(_check, "u long, v long"), f"{work}/links")
 
 
