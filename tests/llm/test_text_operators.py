@@ -200,3 +200,20 @@ def test_html(spark):
         for i, k in enumerate(y):
             total[i][k] += math.exp(z)
     assert np.allclose(html_extraction.marginals(nodes, model), [b / (a + b) for a, b in total])
+
+
+def test_quality_tells_all_bytes_apart(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzBCDFGHJKLMNPQRSUVWXYZ") for _ in range(6)) for _ in range(60)]
+    good = [" ".join([*(rng.choice(words) for _ in range(80)), "20481632", "~^`{}<>"]) for _ in range(60)]
+    texts = spark.createDataFrame([(t,) for t in good], "text string")
+    model = quality.train(texts, common.shared_dir(spark))
+    junk = {alphabet: "".join(rng.choice(alphabet) for _ in range(600)) for alphabet in ("0123456789", "~^`{}<>", "BCDFGHJKLMNPQRSUVWXYZ", "13579 ", "漢字仮名")}
+    docs = spark.createDataFrame([(t,) for t in [*good, *junk.values()]], "text string")
+    got = {r["text"]: r["perplexity"] for r in quality.perplexity(docs, model).collect()}
+    assert min(got[t] for t in junk.values()) > 2 * max(got[t] for t in good)
+    # After any context, taught or not, the probabilities of all bytes sum to 1, and no text's start is among them.
+    data = np.frombuffer(good[0].encode(), np.uint8)
+    for h in [*(np.unique(quality._grams(quality._symbols(data), np.zeros(1, np.int64))) // quality.SYMBOLS)[:40], 0, 255 * 257**2 + 7, 102]:
+        p = np.exp(quality.log_probability(int(h) * quality.SYMBOLS + np.arange(quality.SYMBOLS), model))
+        assert math.isclose(p[1:].sum(), 1, abs_tol=1e-4) and p[0] == 0
