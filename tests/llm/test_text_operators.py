@@ -217,3 +217,14 @@ def test_quality_tells_all_bytes_apart(spark):
     for h in [*(np.unique(quality._grams(quality._symbols(data), np.zeros(1, np.int64))) // quality.SYMBOLS)[:40], 0, 255 * 257**2 + 7, 102]:
         p = np.exp(quality.log_probability(int(h) * quality.SYMBOLS + np.arange(quality.SYMBOLS), model))
         assert math.isclose(p[1:].sum(), 1, abs_tol=1e-4) and p[0] == 0
+
+
+def test_quality_threshold_is_the_quantile(spark):
+    rng = random.Random(12)
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(["one", "two", "three", "quite", "other", "words"]) for _ in range(40)), "en" if i % 2 else "fr") for i in range(200)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i < 160), 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    got = quality.classify(docs, labels, common.shared_dir(spark)).collect()
+    for lang in ("en", "fr"):
+        own = sorted(r["perplexity"] for r in got if r["lang"] == lang and r["doc_id"] < 160)
+        assert {r["threshold"] for r in got if r["lang"] == lang} == {own[math.ceil(0.99 * len(own)) - 1]}
+    assert all(r["keep"] == (r["perplexity"] <= r["threshold"]) for r in got)
