@@ -211,13 +211,14 @@ def _across(batches):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
 
 
-def join(docs: DataFrame, work: str) -> DataFrame:
-    """docs: (doc_id, text). Returns (doc_id, n_shingles, component_id, n_links) for each row.
+def join(docs: DataFrame, work: str, count_links: bool = False) -> DataFrame:
+    """docs: (doc_id, text). Returns (doc_id, n_shingles, component_id) for each row, and n_links where links are to be counted.
 
     A set: the distinct hashes of runs of five words (all words as one run if fewer); empty for null, empty and wordless texts,
-    which link with nothing. Equal sets are one class, represented by its smallest doc_id; n_links counts the verified links of a
-    row's class with other classes that this run needed to settle the components, not all there are. Rows that share a doc_id count as one
-    document where they link, and each is returned. A null doc_id takes no part: its component_id is null.
+    which link with nothing. Equal sets are one class, represented by its smallest doc_id. n_links counts all other documents whose
+    sets are similar to the row's, equal ones included: for it all members of a group are compared, while components need only those that
+    are still apart. Rows that share a doc_id count as one document where they link, and each is returned. A null doc_id takes no part:
+    its component_id is null.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -257,7 +258,12 @@ def join(docs: DataFrame, work: str) -> DataFrame:
     found = later.unionByName(links)
     comp = components(links, f"{work}/components0")
     last = False
-    for k in range(1, STARS + 2):
+    if count_links:
+        rows = common.table(large.select("group", F.explode("members").alias("doc")).withColumn("component", F.col("doc")), f"{work}/rows0")
+        new = common.table(_exhaustive(rows, sketches, f"{work}/blocks0").distinct().join(tried, ["u", "v"], "left_anti"), f"{work}/rest0")
+        links = links.unionByName(_verify(texts, sketches, new, f"{work}/verify_rest"))
+        comp = components(links, f"{work}/components_rest")
+    for k in () if count_links else range(1, STARS + 2):
         if large.isEmpty():
             break
         comp = common.table(comp, f"{work}/comp{k}")
@@ -283,13 +289,22 @@ def join(docs: DataFrame, work: str) -> DataFrame:
         if last:
             break
         last = more.count() * 50 < new.count()  # few links are left to find
-    n_links = links.select(F.explode(F.array("u", "v")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    rep = F.coalesce(F.col("first"), F.col("doc_id"))
     named = components(later.unionByName(comp.select(F.col("node").alias("u"), F.col("component").alias("v"))), f"{work}/named")
     named = common.table(named.withColumnRenamed("node", "doc_id"), f"{work}/names")
-    out = every.join(common.small(named), "doc_id", "left").join(common.small(later.select(F.col("v").alias("doc_id"), F.col("u").alias("first")).distinct()), "doc_id", "left")
-    out = out.withColumn("rep", rep).join(common.small(common.table(n_links, f"{work}/links")), "rep", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    out = every.join(common.small(named), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), "key")
+    if not count_links:
+        return out.drop("key")
+    return out.join(common.small(_n_links(known, links, work)), "key", "left").select("doc_id", "n_shingles", "component_id", F.when(F.col("doc_id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"))
+
+
+def _n_links(known: DataFrame, links: DataFrame, work: str) -> DataFrame:
+    """(key, n_links): of each class the documents linked with one of its documents. links: all those between classes' smallest doc_ids."""
+    sizes = known.select("key", "doc_id").distinct().groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size"))
+    sizes = common.table(sizes, f"{work}/sizes")
+    sides = links.distinct().select(F.explode(F.array(F.struct(F.col("u").alias("rep"), F.col("v").alias("other")), F.struct(F.col("v").alias("rep"), F.col("u").alias("other")))).alias("s")).select("s.*")
+    other = sizes.select(F.col("rep").alias("other"), "size")
+    linked = sides.join(common.small(other), "other").groupBy("rep").agg(F.sum("size").alias("linked"))
+    return common.table(sizes.join(linked, "rep", "left").select("key", (F.col("size") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")), f"{work}/n_links")
 
 
 def _of(sketches: DataFrame, ids: DataFrame, path: str) -> DataFrame:
@@ -333,7 +348,7 @@ def _verify(texts: DataFrame, sketches: DataFrame, pairs: DataFrame, work: str)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join(common.source(spark, sf_dir, "documents"), common.shared_dir(spark)).drop("n_links")
+    return join(common.source(spark, sf_dir, "documents"), common.shared_dir(spark))
 
 
 OP3_SQL = r"""

@@ -228,3 +228,25 @@ def test_quality_threshold_is_the_quantile(spark):
         own = sorted(r["perplexity"] for r in got if r["lang"] == lang and r["doc_id"] < 160)
         assert {r["threshold"] for r in got if r["lang"] == lang} == {own[math.ceil(0.99 * len(own)) - 1]}
     assert all(r["keep"] == (r["perplexity"] <= r["threshold"]) for r in got)
+
+
+def test_jaccard_join_counts_all_links(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "MEET", 7)
+    rng = random.Random(13)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(0, None), (1, "a b"), (2, "A b"), (3, "alone here")]
+    for i in range(10, 50):
+        w = list(base)
+        for _ in range(rng.randrange(0, 4)):
+            w[rng.randrange(120)] = f"x{rng.randrange(99)}"
+        rows.append((i, " ".join(w)))
+    rows += [(100, rows[-1][1]), (101, rows[-2][1].upper()), (None, rows[-1][1])]
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := _tokens(t)) else set() for i, t in rows if i is not None}
+    near = lambda a, b: 100 * len(a & b) >= 75 * len(a | b) > 0
+    want = {i: sum(near(sets[i], sets[j]) for j in sets if j != i) for i in sets}
+    assert max(want.values()) > 30
+    df = _docs(spark, rows).repartition(3)
+    got = jaccard_join.join(df, common.shared_dir(spark), count_links=True).collect()
+    assert {r["doc_id"]: r["n_links"] for r in got} == {**want, None: 0} and len(got) == len(rows)
+    plain = jaccard_join.join(df, common.shared_dir(spark))
+    assert plain.columns == ["doc_id", "n_shingles", "component_id"] and sorted(map(str, plain.collect())) == sorted(map(str, (r for r in spark.createDataFrame(got).drop("n_links").collect())))
