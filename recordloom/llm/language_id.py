@@ -12,8 +12,10 @@ from . import common
 
 #: n-grams of bytes of 1 to ORDERS, hashed to 2**BITS features; about so many documents (chosen by a hash of doc_id) teach.
 ORDERS, BITS, SAMPLE_DOCS = 3, 15, 40_000
-#: Languages at most, by documents taught: with 2**BITS features each this bounds what is broadcast (16 MB).
-MAX_LANGS = 128
+#: Documents, about, that teach a language at least: all of them if it has fewer.
+LEAST_DOCS = 100
+#: Languages of a block: with 2**BITS features each this bounds what is collected, broadcast and held at once (16 MB). All blocks are asked.
+BLOCK_LANGS = 128
 _WINDOW = 1 << 18
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -66,8 +68,13 @@ def _row_sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(labelled: DataFrame, bits: int = BITS) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """labelled: (text, lang), lang not null. Returns languages, log priors, and the matrix of log-probabilities (language, feature)."""
+def train(labelled: DataFrame, known: dict[str, int] | None = None, bits: int = BITS) -> list:
+    """labelled: (text, lang), lang not null. Returns blocks of languages in order, as broadcasts: languages, log priors, and the matrix
+    of log-probabilities (language, feature). known: how many documents each language has, if only a sample of them teaches."""
+    spark = labelled.sparkSession
+
+    def rows_of(total, docs):
+        return pa.RecordBatch.from_pydict({"lang": pa.array(list(total), pa.string()), "docs": pa.array([docs[k] for k in total], pa.int64()), "counts": pa.array([v.tobytes() for v in total.values()], pa.binary())})
 
     def count(batches):
         total: dict[str, np.ndarray] = {}
@@ -83,37 +90,51 @@ def train(labelled: DataFrame, bits: int = BITS) -> tuple[list[str], np.ndarray,
                     for a in range(int(off[r]), int(off[r + 1]), _WINDOW):
                         for f in _piece(data, off[r : r + 1], a, min(a + _WINDOW, int(off[r + 1]))):
                             np.add.at(sums, f, 1) if len(f) < 64 else sums.__iadd__(np.bincount(f, minlength=1 << bits))
-        yield pa.RecordBatch.from_pydict({"lang": list(total), "docs": pa.array([docs[k] for k in total], pa.int64()), "counts": pa.array([v.tobytes() for v in total.values()], pa.binary())})
+                if len(total) >= BLOCK_LANGS:
+                    yield rows_of(total, docs)
+                    total, docs = {}, {}
+        yield rows_of(total, docs)
 
     parts = labelled.select("text", "lang").mapInArrow(count, "lang string, docs long, counts binary").where("docs > 0")
 
     def merge(df: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"lang": [df["lang"].iat[0]], "docs": [int(df["docs"].sum())], "counts": [sum(np.frombuffer(x, np.int64) for x in df["counts"]).tobytes()]})
 
-    rows = parts.groupBy("lang").applyInPandas(merge, "lang string, docs long, counts binary").orderBy(F.desc("docs"), "lang").limit(MAX_LANGS).collect()
-    rows.sort(key=lambda r: r["lang"])
-    if not rows:
-        return [], np.zeros(0), np.zeros((0, 1 << bits))
-    counts = np.array([np.frombuffer(r["counts"], np.int64) for r in rows]) + 0.5
-    docs = np.array([r["docs"] for r in rows], float)
-    return [r["lang"] for r in rows], np.log(docs / docs.sum()), np.log(counts / counts.sum(axis=1, keepdims=True))
-
-
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) -> DataFrame:
+    merged = common.table(parts.groupBy("lang").applyInPandas(merge, "lang string, docs long, counts binary"), f"{common.shared_dir(spark)}/languages")
+    docs = {x["lang"]: x["docs"] for x in merged.select("lang", "docs").collect()}
+    size = {k: (known or docs).get(k, n) for k, n in docs.items()}
+    langs, every = sorted(docs), float(sum(size.values()))
+    blocks = []
+    for a in range(0, len(langs), BLOCK_LANGS):
+        some = langs[a : a + BLOCK_LANGS]
+        found = {x["lang"]: x["counts"] for x in merged.where(F.col("lang").between(some[0], some[-1])).select("lang", "counts").collect()}
+        counts = np.array([np.frombuffer(found[k], np.int64) for k in some]) + 0.5
+        logp = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+        blocks.append(spark.sparkContext.broadcast((some, np.log([size[k] / every for k in some]), logp)))
+    return blocks
+
+
+def _held(blocks: list):
+    """The blocks' values, in a worker one at a time: of several, each is dropped after its turn."""
+    for block in blocks:
+        yield block.value
+        if len(blocks) > 1 and hasattr(block, "_value"):
+            del block._value
+
+
+def predict(docs: DataFrame, blocks: list) -> DataFrame:
     """docs with lang_pred and score added: the posterior of the predicted language, at even priors' odds tempered by the n-grams' overlap.
 
     `und` with score 0 if the text is null, empty or without a letter, or if nothing was taught. Whole texts count; lang and
     other columns are no inputs. A tie goes to the language that is first in code point order.
     """
-    langs, prior, logp = model
-    shared = docs.sparkSession.sparkContext.broadcast((langs, prior, np.ascontiguousarray(logp, np.float32)))
-
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def score(text: pa.Array) -> pa.Array:
-        langs, prior, logp = shared.value
         data, off = common.text_bytes(text)
-        sums = np.zeros((len(langs), len(off) - 1))
-        if langs:
+        rows = len(off) - 1
+        top, rest, names = np.full(rows, -np.inf), np.zeros(rows), np.full(rows, "und", object)
+        for langs, prior, logp in _held(blocks):
+            sums = np.zeros((len(langs), rows))
             for i, j, a, b in _windows(off):
                 if b > a:
                     features, at = _piece(data, off[i:j], a, b), np.clip(off[i : j + 1], a, b) - a
@@ -122,17 +143,15 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) ->
                         sums[k, i:j] += _row_sums(sum(weight[f] for f in features), at)
             # An n-gram of each order ends at each byte; they overlap, so that their evidence counts once.
             z = sums / ORDERS + prior[:, None]
-            z -= z.max(axis=0, keepdims=True)
-            p = np.exp(z)
-            p /= p.sum(axis=0, keepdims=True)
-            best = p.argmax(axis=0)
-            conf = p.max(axis=0)
-        names, scores = [], []
-        letters = _has_letter(text)
-        for r in range(len(off) - 1):
-            known = bool(langs) and letters[r]
-            names.append(langs[best[r]] if known else "und")
-            scores.append(float(conf[r]) if known else 0.0)
+            best, high = z.argmax(axis=0), z.max(axis=0)
+            better = high > top  # of equals the earlier block's stands
+            names[better] = np.array(langs, object)[best[better]]
+            peak = np.maximum(top, high)
+            rest = rest * np.exp(top - peak) + np.exp(z - peak).sum(axis=0)
+            top = peak
+        known = np.array(_has_letter(text), bool) & bool(blocks)
+        names[~known] = "und"
+        scores = np.where(known, 1 / np.maximum(rest, 1), 0.0)
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     out = docs.withColumn("_p", score(F.coalesce(F.col("text"), F.lit(""))))
@@ -146,12 +165,18 @@ def _has_letter(text: pa.Array) -> list[bool]:
     return out
 
 
-def fit(docs: DataFrame, teaches) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Train on the rows for which the column `teaches` holds and lang is not null: on about SAMPLE_DOCS of them, chosen by a hash."""
+def fit(docs: DataFrame, teaches) -> list:
+    """Train on the rows for which the column `teaches` holds and lang is not null: on about SAMPLE_DOCS of them, chosen by a hash, and of each
+    language about LEAST_DOCS or, if it has fewer, all."""
     known = docs.where(teaches & F.col("lang").isNotNull())
-    rows = known.count()
-    kept = known.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < F.lit(int(min(1.0, SAMPLE_DOCS / max(rows, 1)) * (1 << 20))))
-    return train(kept)
+    sizes = common.table(known.groupBy("lang").agg(F.count("*").alias("_n")), f"{common.shared_dir(docs.sparkSession)}/sizes")
+    size = {r["lang"]: r["_n"] for r in sizes.collect()}
+    rate = min(1.0, SAMPLE_DOCS / max(1, sum(size.values())))
+    if rate < 1:
+        share = F.greatest(F.lit(rate), F.least(F.lit(1.0), LEAST_DOCS / F.col("_n")))
+        chosen = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < F.ceil(share * (1 << 20))
+        known = known.join(common.small(sizes), "lang").where(chosen | (F.col("_n") <= LEAST_DOCS))
+    return train(known, size)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -250,3 +250,19 @@ def test_jaccard_join_counts_all_links(spark, monkeypatch):
     assert {r["doc_id"]: r["n_links"] for r in got} == {**want, None: 0} and len(got) == len(rows)
     plain = jaccard_join.join(df, common.shared_dir(spark))
     assert plain.columns == ["doc_id", "n_shingles", "component_id"] and sorted(map(str, plain.collect())) == sorted(map(str, (r for r in spark.createDataFrame(got).drop("n_links").collect())))
+
+
+def test_language_keeps_rare_ones(spark, monkeypatch):
+    rng = random.Random(14)
+    parts = {f"l{k:03}": [chr(0x4E00 + 40 * k + i) for i in range(8)] for k in range(140)}
+    make = lambda s: "".join(rng.choice(s) for _ in range(30))
+    rows = [(k * 1000 + i, make(v), lang) for k, (lang, v) in enumerate(parts.items()) for i in range(2 if k % 7 == 3 else 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one = {r["doc_id"]: tuple(r) for r in language_id.predict(df, language_id.fit(df, F.lit(True))).collect()}
+    assert len(one) == len(rows) and all(r[2] == r[3] for r in one.values())
+    # Few of all documents teach, but some of each language; blocks say the same as one matrix.
+    monkeypatch.setattr(language_id, "SAMPLE_DOCS", 10)
+    monkeypatch.setattr(language_id, "LEAST_DOCS", 4)
+    monkeypatch.setattr(language_id, "BLOCK_LANGS", 33)
+    for r in language_id.predict(df, language_id.fit(df, F.lit(True))).collect():
+        assert tuple(r)[:4] == one[r["doc_id"]][:4] and math.isclose(r["score"], one[r["doc_id"]][4], rel_tol=1e-9)
