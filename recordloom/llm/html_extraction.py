@@ -22,11 +22,16 @@ from . import common
 #: Labelled pages that teach, and the seed they are composed with.
 PAGES, SEED = 600, 7
 
-# Fixed values of HTML: elements without an end tag, with raw text, without text of the page, and inside a line.
+# Fixed values of HTML: elements without an end tag, with raw text that isn't the page's, of other languages, whose text is read as the page's
+# again, and inside a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select button object canvas".split())
+RAW = frozenset("script style textarea title".split())
+FOREIGN = frozenset("svg math".split())
+HOME = frozenset("foreignobject desc mi mo mn ms mtext annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var html body".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+#: What can't stand in svg or math, and ends them where they were left open.
+BREAKS = CLOSES_P | frozenset("b big body br center code dd dt em embed i img li s small span strike strong sub sup td th tr tt u var".split())
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE = frozenset("ul ol dl table div article section nav aside header footer main form td th".split())
 
@@ -37,17 +42,19 @@ _WORD = re.compile(r"[A-Za-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "names", "parent", "children", "parts", "link", "label", "score")
+    __slots__ = ("tag", "names", "parent", "children", "parts", "link", "label", "score", "foreign")
 
     def __init__(self, tag: str, names: frozenset, parent, label=None):
         self.tag, self.names, self.parent, self.label = tag, names, parent, label
         self.children, self.parts, self.link, self.score = [], [], 0, (0.0, 0.0)
+        self.foreign = tag in FOREIGN or parent is not None and parent.foreign and tag not in HOME
 
 
 def parse(page: str) -> list[Node]:
     """The page's block elements in page order, the root first. A node's parts: its own text and, as numbers, its children's places.
 
-    Whatever the markup, nothing is refused: unknown end tags are skipped, open elements end with their parent or the page.
+    Whatever the markup, nothing is refused: unknown end tags are skipped, open elements end with their parent or the page. Of elements
+    only the text of scripts, styles, text fields and titles isn't read. In svg and math "/>" ends an element.
     """
     nodes = [Node("root", frozenset(), None)]
     now, at, links = nodes[0], 0, 0
@@ -76,7 +83,14 @@ def parse(page: str) -> list[Node]:
                 if top.parent is not None:
                     now, links = top.parent, 0
             continue
+        if now.foreign and tag in BREAKS:
+            while now.foreign:
+                now = now.parent
+            links = 0
+        empty = m[3].endswith("/") and (now.foreign or tag in FOREIGN)
         if tag in RAW:
+            if empty:
+                continue
             end = _ENDS[tag].search(page, at)
             at = end.end() if end else len(page)
             continue
@@ -103,6 +117,8 @@ def parse(page: str) -> list[Node]:
                     label = int(value == "1")
                 else:
                     names += [w.lower() for w in _WORD.findall(value)]
+        if empty:
+            continue
         node = Node(tag, frozenset(names), now, label)
         now.children.append(node)
         now.parts.append(node)

@@ -266,3 +266,13 @@ def test_language_keeps_rare_ones(spark, monkeypatch):
     monkeypatch.setattr(language_id, "BLOCK_LANGS", 33)
     for r in language_id.predict(df, language_id.fit(df, F.lit(True))).collect():
         assert tuple(r)[:4] == one[r["doc_id"]][:4] and math.isclose(r["score"], one[r["doc_id"]][4], rel_tol=1e-9)
+
+
+def test_html_drops_only_raw_text():
+    model = html_extraction.train(html_extraction.labelled_pages())
+    page = "<nav><ul><li><a href=x>Menu</a></ul></nav><article><h1>Top</h1><p>First words of the text stand here.</p>{}<p>Second words stand there.</p></article><footer>&copy; us</footer>"
+    whole = "Top First words of the text stand here. Second words stand there."
+    for mark in ('<svg width="1"/>', "<math />", '<svg><path d="M0"/><circle r="1"/>', "<svg><g><path/></svg>", "<math><mi/>", "<button>", "<select>", '<object data="x">', "<canvas>", "<noscript>", "<iframe src=x>", "<template>", "<script>var a = '<p>no</p>'</script>", "<style>p {}</style>"):
+        assert html_extraction.extract(page.format(mark), model) == whole, mark
+    for mark in ("<p>As <math><mi>x</mi> <mo>=</mo> <mn>2</mn></math> holds.</p>", "<noscript><p>As x = 2 holds.</p></noscript>"):
+        assert html_extraction.extract(page.format(mark), model) == whole.replace("stand here.", "stand here. As x = 2 holds."), mark
