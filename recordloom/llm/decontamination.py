@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Tokens of a seed; tokens of the shortest tile; part of an item's tokens that its tiles must cover.
-SEED, TILE, COVERAGE = 4, 3, 0.6
+#: Tokens of a seed, at most those of a tile; tokens of the shortest tile; part of an item's tokens that its tiles must cover.
+SEED, TILE, COVERAGE = 3, 3, 0.6
 #: Characters of benchmark text that are broadcast at once; a larger benchmark goes in blocks of about that size.
 BLOCK_CHARS = 8_000_000
 _MOD = (1 << 61) - 1
 _BASE = 1_000_003_979
 _BITS = 22
+#: Places in items that are looked at at once, about: they bound a worker's memory.
+_PLACES = 500_000
 
 
 def _prefix(tokens) -> list[int]:
@@ -82,41 +84,70 @@ def tile(item: list[int], doc: list[int], least: int = TILE) -> list[tuple[int,
 
 
 def _index(rows: list[tuple[int, str]], seed: int):
-    """Token lists of the items, sorted seeds with the items that hold each, and a bit table that most other n-grams miss."""
+    """Token lists of the items, each token's item, and by length the seeds: an item's runs of `seed` tokens, or all of a shorter one.
+
+    Of seeds of a length: the different ones, sorted, where each one's places begin, the places (tokens counted over all items), and a
+    bit table that most other n-grams miss.
+    """
     hashes, first = common.words(pa.array([t for _, t in rows], pa.large_string()), common.PUNCT)
     items = [(rows[k][0], hashes[first[k] : first[k + 1]]) for k in range(len(rows))]
-    grams, begin = common.shingles(hashes, first, seed)
-    owner = np.repeat(np.arange(len(rows)), np.diff(begin))
-    fit = np.diff(first)[owner] >= seed
-    grams, owner = grams[fit], owner[fit]
-    order = np.lexsort((owner, grams))
-    table = np.zeros(1 << _BITS, bool)
-    table[grams >> np.uint64(64 - _BITS)] = True
-    return items, grams[order], owner[order], table
+    size = np.diff(first)
+    parts = {}
+    for n in np.unique(np.minimum(size[size > 0], seed)).tolist():
+        grams, begin = common.shingles(hashes, first, n)
+        owner = np.repeat(np.arange(len(rows)), np.diff(begin))
+        place = first[owner] + np.arange(len(grams)) - begin[owner]
+        fit = np.minimum(size, seed)[owner] == n
+        grams, place = grams[fit], place[fit]
+        order = np.lexsort((place, grams))
+        keys, start = np.unique(grams[order], return_index=True)
+        table = np.zeros(1 << _BITS, bool)
+        table[keys >> np.uint64(64 - _BITS)] = True
+        parts[n] = (keys, np.append(start, len(grams)), place[order], table)
+    return items, np.repeat(np.arange(len(rows)), size), parts
+
+
+def _candidates(hashes: np.ndarray, first: np.ndarray, items: list, owner: np.ndarray, parts: dict, coverage: float):
+    """(row, item): the pairs whose shared seeds cover the given part of the item. Tiles consist of shared seeds, so no other pair's tiles can."""
+    size = np.array([len(x) for _, x in items])
+    for n, (keys, start, place, table) in parts.items():
+        grams, begin = common.shingles(hashes, first, n)
+        hits = np.flatnonzero(table[grams >> np.uint64(64 - _BITS)])
+        at = np.minimum(np.searchsorted(keys, grams[hits]), len(keys) - 1)
+        on = keys[at] == grams[hits]
+        row = np.searchsorted(begin, hits[on], "right") - 1
+        row, at = np.divmod(np.unique(row * len(keys) + at[on]), len(keys))
+        count = start[at + 1] - start[at]
+        ends = np.append(0, np.cumsum(count))
+        a = 0
+        while a < len(row):
+            b = int(np.searchsorted(ends, ends[a] + _PLACES, "right")) - 1
+            b = max(int(np.searchsorted(row, row[b])), int(np.searchsorted(row, row[a], "right"))) if b < len(row) else len(row)
+            k = np.repeat(start[at[a:b]] - ends[a:b], count[a:b]) + np.arange(ends[a], ends[b])
+            covered = np.unique(np.repeat(row[a:b], count[a:b])[:, None] * len(owner) + place[k][:, None] + np.arange(n))
+            pair, tokens = np.unique(covered // len(owner) * len(items) + owner[covered % len(owner)], return_counts=True)
+            pair = pair[tokens >= coverage * size[pair % len(items)]]
+            yield from ((int(r), int(i)) for r, i in zip(*np.divmod(pair, len(items))))
+            a = b
 
 
 def _matcher(spark: SparkSession, rows: list[tuple[int, str]], seed: int, least: int, coverage: float):
-    shared = spark.sparkContext.broadcast(_index(rows, seed))
+    shared = spark.sparkContext.broadcast(_index(rows, min(seed, least)))
     kind = "array<struct<item_id: bigint, n_tiles: int, covered: int, item_tokens: int, coverage: double>>"
     fields = [("item_id", pa.int64()), ("n_tiles", pa.int32()), ("covered", pa.int32()), ("item_tokens", pa.int32()), ("coverage", pa.float64())]
 
     @F.arrow_udf(kind)
     def match(text: pa.Array) -> pa.Array:
-        items, seeds, owner, table = shared.value
+        items, owner, parts = shared.value
         hashes, first = common.words(text, common.PUNCT)
-        grams, begin = common.shingles(hashes, first, seed)
         out: list[list] = [[] for _ in range(len(text))]
-        hits = np.flatnonzero(table[grams >> np.uint64(64 - _BITS)]) if len(seeds) else np.zeros(0, np.int64)
-        lo, hi = np.searchsorted(seeds, grams[hits], "left"), np.searchsorted(seeds, grams[hits], "right")
-        hits, lo, hi = hits[hi > lo], lo[hi > lo], hi[hi > lo]
-        row = np.searchsorted(begin, hits, "right") - 1
-        pairs = {(int(r), int(k)) for r, a, b in zip(row, lo, hi) for k in owner[a:b]}
+        pairs = _candidates(hashes, first, items, owner, parts, coverage)
         doc, at = [], -1
         for r, k in sorted(pairs):
             if r != at:
                 doc, at = hashes[first[r] : first[r + 1]].tolist(), r
             item_id, item = items[k]
-            tiles = tile(item.tolist(), doc, least)
+            tiles = tile(item.tolist(), doc, min(least, len(item)))
             covered = sum(n for *_, n in tiles)
             if covered >= coverage * len(item):
                 out[r].append({"item_id": item_id, "n_tiles": len(tiles), "covered": covered, "item_tokens": len(item), "coverage": covered / len(item)})
@@ -129,7 +160,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, least: int = T
     """docs with `leaks`: the benchmark items of whose tokens the text's tiles cover the given part or more.
 
     Tokens: words without ASCII punctuation, A-Z lower-cased. Null text counts as empty and leaks nothing; an item of fewer tokens
-    than a seed, null or empty, is never found. Repeated items are each reported. The benchmark is broadcast in blocks of a set size.
+    than a tile is found where it stands whole, one without tokens never. Repeated items are each reported. The benchmark is broadcast in blocks of a set size.
     """
     items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0

@@ -1,5 +1,8 @@
 import random
 
+import pyarrow as pa
+
+from recordloom.llm import common
 from recordloom.llm import decontamination as dc
 
 
@@ -46,3 +49,30 @@ def test_reordered_edited_and_clean(spark):
         got = {(r["doc_id"], x["item_id"], x["coverage"]) for r in dc.mark(df, bench, block_chars=block).collect() for x in r["leaks"]}
         assert got == {(1, 1, 1.0), (2, 1, 1.0), (7, 1, 1.0)}
     assert dc.mark(df.limit(0), bench.limit(0)).collect() == []
+
+
+def test_no_item_is_lost_to_seeds(spark, monkeypatch):
+    rng = random.Random(3)
+    w = [f"t{k}" for k in range(40)]
+    changed = " ".join("other" if k % 4 == 3 else t for k, t in enumerate(w))
+    docs = [(1, f"so {changed} on"), (2, "say Hello, world! again"), (3, "hello wide world"), (4, "unu"), (5, "hello")]
+    docs += [(10 + i, " ".join(rng.choice(w[:9]) for _ in range(rng.randrange(1, 30)))) for i in range(60)]
+    bench = [(1, " ".join(w)), (2, "hello world"), (3, "unu"), (4, ".,!")] + [(10 + i, " ".join(rng.choice(w[:9]) for _ in range(rng.randrange(1, 9)))) for i in range(40)]
+    tokens = lambda t: t.lower().replace(",", " ").replace("!", " ").replace(".", " ").split()
+    want = set()
+    for d, t in docs:
+        for i, x in bench:
+            n = len(tokens(x))
+            if n and (covered := _naive(tokens(x), tokens(t), min(dc.TILE, n))) >= dc.COVERAGE * n:
+                want.add((d, i, covered))
+    assert {(1, 1, 30), (2, 2, 2), (4, 3, 1)} <= want and not any(i == 4 for _, i, _ in want)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = [(r["doc_id"], x["item_id"], x["covered"]) for r in dc.mark(df, spark.createDataFrame(bench, "item_id long, text string")).collect() for x in r["leaks"]]
+    assert len(found) == len(set(found)) and set(found) == want, (len(found), len(want))
+    # Candidates are the same, whatever number of places is looked at at once, and hold all that leak.
+    index = dc._index(bench, dc.TILE)
+    hashes, first = common.words(pa.array([t for _, t in docs]), common.PUNCT)
+    once = set(dc._candidates(hashes, first, *index, dc.COVERAGE))
+    monkeypatch.setattr(dc, "_PLACES", 1)
+    assert sorted(dc._candidates(hashes, first, *index, dc.COVERAGE)) == sorted(once)
+    assert {(docs[r][0], bench[i][0]) for r, i in once} >= {(d, i) for d, i, _ in want}
