@@ -18,11 +18,33 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return told.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
 
 
+def _rows_told_apart(docs: DataFrame, work: str) -> DataFrame:
+    """docs with `_row`: doc_id where it is one row's only, else a hash of doc_id and text, beyond 2**62; rows equal in both share it."""
+    repeated = common.table(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id", F.lit(True).alias("_again")), f"{work}/repeated")
+    docs = docs.join(common.small(repeated), F.col("doc_id") == F.col("_id"), "left")
+    mark = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return docs.withColumn("_row", F.when(F.col("doc_id").isNull() | F.col("_again").isNotNull(), mark).otherwise(F.col("doc_id").cast("long"))).drop("_id", "_again")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that links of similar shingles connect, the document with the smallest doc_id; documents without doc_id stay."""
+    """Of each group that links of similar shingles connect, the row with the smallest doc_id, those without doc_id last; of rows with the
+    same doc_id, or none, and the same text one."""
     work = common.shared_dir(spark)
-    joined = jaccard_join.join(docs, work).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(common.small(common.table(joined, f"{work}/dropped")), "doc_id", "left_anti").select(*docs.columns)
+    told = _rows_told_apart(docs, work)
+    joined = common.table(jaccard_join.join(told.select(F.col("_row").alias("doc_id"), "text"), work).select(F.col("doc_id").alias("_row"), "component_id"), f"{work}/joined")
+    # Only rows told apart by a hash can be alike in `_row`, or stand out of order in it.
+    ids = told.where(F.col("_row") >= 1 << 62).select("_row", "doc_id")
+    ids = common.table(ids.groupBy("_row").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), f"{work}/ids")
+    named = joined.join(common.small(ids), "_row", "left").withColumn("_id", F.when(F.col("n").isNull(), F.col("_row")).otherwise(F.col("doc_id")))
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row"))
+    kept = joined.where("_row <> component_id").select("component_id").distinct()
+    kept = named.join(common.small(common.table(kept, f"{work}/groups_of_two")), "component_id", "left_semi").groupBy("component_id").agg(first.alias("s")).select("component_id", F.col("s._row").alias("kept"))
+    kept = common.table(kept, f"{work}/kept")
+    dropped = common.table(joined.join(common.small(kept), "component_id").where("_row <> kept").select("_row").distinct(), f"{work}/dropped")
+    rest = told.join(common.small(dropped), "_row", "left_anti")
+    alike = ids.where("n > 1").select("_row")
+    one = rest.join(common.small(alike), "_row", "left_semi").groupBy("_row").agg(F.min(F.struct(*docs.columns)).alias("s")).select("s.*")
+    return rest.join(common.small(alike), "_row", "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,3 +16,23 @@ def test_planted_cases(spark, tmp_path):
     assert sorted(r["doc_id"] for r in got) == list(range(60))
     assert all(0 <= r["taken"] <= 2 * r["size"] for r in got)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontaminate", "secrets", "mixture"]
+
+
+def test_near_duplicates_keep_one_row_of_each(spark):
+    rng = random.Random(9)
+    make = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    t = [make() for _ in range(9)]
+    near = lambda x: x + " tail"
+    rows = [(1, t[0], "a"), (1, t[0], "b"), (1, t[0], "b"), (None, t[1], "a"), (None, t[1], "a"), (None, near(t[1]), "a")]  # repeated rows; near and equal texts without doc_id
+    rows += [(5, t[2], "a"), (None, t[2], "a"), (None, near(t[2]), "a"), (9, near(t[2]), "a")]  # with and without doc_id
+    rows += [(7, t[3], "a"), (7, t[4], "a")]  # different texts that share a doc_id
+    rows += [(3, t[5], "a"), (3, near(t[5]), "a"), (4, t[5], "a")]  # a repeated doc_id comes first, too
+    rows += [(None, None, "a"), (None, "", "a"), (20, None, "a"), (21, "", "a"), (-4, t[6], "a"), (22, near(t[6]), "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, df, "").collect()
+    kept = sorted(((r["doc_id"], r["text"]) for r in got), key=str)
+    three = [x for x in kept if x[0] == 3]
+    assert len(three) == 1 and three[0][1] in (t[5], near(t[5]))
+    none = [x for x in kept if x[0] is None and x[1]]
+    assert len(none) == 1 and none[0][1] in (t[1], near(t[1]))
+    assert sorted((x for x in kept if x not in three + none), key=str) == sorted([(1, t[0]), (5, t[2]), (7, t[3]), (7, t[4]), (None, None), (None, ""), (20, None), (21, ""), (-4, t[6])], key=str)
