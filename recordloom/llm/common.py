@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -17,22 +20,82 @@ BROADCAST_ROWS = 500_000
 BATCH_ROWS = 1000
 
 
+_made: set[str] = set()
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under the one that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = tempfile.mkdtemp(prefix="recordloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    return f"{root.rstrip('/')}/recordloom-{uuid.uuid4().hex}"
-
-
-def table(df: DataFrame, path: str) -> DataFrame:
-    """Write df and read it again: its lineage ends there, and a lost executor costs no more than the tasks it ran."""
-    df.write.mode("overwrite").parquet(path)
+    """A new folder's path under the one that the cluster names in spark.checkpoint.dir; under a temporary one only where that is unset, as in tests.
+
+    What is left in it when the driver's process ends is deleted then; operators delete what their results don't read any more."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or _own_root()
+    path = f"{root.rstrip('/')}/recordloom-{uuid.uuid4().hex}"
+    _made.add(path)
+    return path
+
+
+@functools.cache
+def _own_root() -> str:
+    return tempfile.mkdtemp(prefix="recordloom-")
+
+
+@atexit.register
+def _clear() -> None:
+    with contextlib.suppress(Exception):
+        spark = SparkSession.getActiveSession()
+        if spark is not None and not spark.sparkContext._jsc.sc().isStopped():
+            for path in list(_made):
+                remove(spark, path)
+    if _own_root.cache_info().currsize:
+        shutil.rmtree(_own_root(), ignore_errors=True)
+
+
+def remove(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) -> None:
+    """Delete a folder of the shared file system, but for the entries to keep."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not keep:
+        fs.delete(hadoop, True)
+        _made.discard(path)
+    elif fs.exists(hadoop):
+        for entry in fs.listStatus(hadoop):
+            if entry.getPath().getName() not in keep:
+                fs.delete(entry.getPath(), True)
+
+
+def table(df: DataFrame, path: str, rows: int = BATCH_ROWS) -> DataFrame:
+    """Write df and read it again: its lineage ends there, and a lost executor costs no more than the tasks it ran. While it is written,
+    Arrow batches have at most so many rows; the session's own setting stands again when this returns."""
+    with batch_rows(df.sparkSession, rows):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def result(df: DataFrame, work: str, rows: int = BATCH_ROWS) -> DataFrame:
+    """df as a table, and nothing else left in the folder `work`."""
+    out = table(df, f"{work}/result", rows)
+    remove(df.sparkSession, work, ("result",))
+    return out
+
+
+def free(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it until df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def make_room(df: DataFrame, *names: str) -> DataFrame:
+    """df, its columns of these names (in any case) renamed to <name>_input, with more underscores if that is taken: results don't replace them."""
+    for c in df.columns:
+        if c.lower() in names:
+            new = f"{c}_input"
+            while new.lower() in {x.lower() for x in df.columns} | set(names):
+                new += "_"
+            df = df.withColumnRenamed(c, new)
+    return df
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df for the side of a join: with a broadcast hint if it was counted to have at most so many rows, else as it is (a shuffled join)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -51,13 +51,18 @@ def components(links: DataFrame, work: str, rounds: int = 60) -> DataFrame:
     """links: (u, v), long. Returns (node, component) for each linked node; a component is named by its smallest node.
 
     Each task first replaces its links by a forest; then every node's neighbours are linked to the smallest of them, larger ones
-    and smaller ones in turn, until nothing changes.
+    and smaller ones in turn, until nothing changes. A component's size shrinks by a constant factor a round, so that 60 rounds
+    settle any number of nodes; if they don't, an error says so.
     """
     links = links.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")).where("u <> v")
-    now = common.table(links.mapInArrow(_local, "u long, v long").distinct(), f"{work}/0")
-    if now.limit(ONE_TASK + 1).count() <= ONE_TASK:
-        now, rounds = common.table(now.repartition(1).mapInArrow(_local, "u long, v long"), f"{work}/one"), 0
-    for k in range(rounds):
+    settled = links.limit(ONE_TASK + 1).count() <= ONE_TASK
+    if settled:
+        now = common.table(links.repartition(1).mapInArrow(_local, "u long, v long"), f"{work}/one")
+    else:
+        now = common.table(links.mapInArrow(_local, "u long, v long").distinct(), f"{work}/0")
+        if now.limit(ONE_TASK + 1).count() <= ONE_TASK:
+            now, settled = common.table(now.repartition(1).mapInArrow(_local, "u long, v long"), f"{work}/one"), True
+    for k in range(0 if settled else rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = common.table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{work}/{k}m")
         large = both.where("v > u").join(common.small(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -67,9 +72,11 @@ def components(links: DataFrame, work: str, rounds: int = 60) -> DataFrame:
         joined = down.join(common.small(least), "u")
         after = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         after = common.table(after, f"{work}/{k + 1}")
-        same = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() == after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        settled = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() == after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         now = after
-        if same:
+        if settled:
             break
+    if not settled:
+        raise RuntimeError(f"components aren't settled after {rounds} rounds")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

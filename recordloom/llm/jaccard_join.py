@@ -26,6 +26,9 @@ WORDS = 5
 SAMPLE_DOCS, FREQUENT, FREQUENT_MOST = 8000, 0.0005, 400_000
 #: Signatures, about, that one bucket takes; that a task holds back before it sends them.
 BUCKET, FLUSH = 750_000, 500_000
+#: So many documents of one flush that share a signature become a list, of which only the first goes on to the signature's bucket.
+#: Members of a list at most.
+LOCAL, CUT = 8, 5_000
 #: Rounds that compare a group's members with one of them, before all that are still apart are compared; that comes at once
 #: where it means no more pairs than this.
 STARS, PAIRS = 6, 200_000
@@ -135,19 +138,43 @@ def _digests(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary())], ["doc_id", "n_shingles", "key", "sketch"])
 
 
+_PLAIN, _FIRSTS, _LISTS = 0, 1, 2
+
+
 def _postings(frequent, buckets: int):
+    """Rows (bucket, kind, ids, sigs). A signature that many documents of a flush share is aggregated before the shuffle: they become a
+    list, which goes to a bucket by its content (kind 2: ids the members, sigs what they share), and its first member stands for them in
+    the signature's bucket (kind 1), so that what one signature brings there grows with the flushes and not with its documents."""
+
+    def packed(kind, d, s):
+        order = np.argsort(s % np.uint64(buckets), kind="stable")
+        d, s = d[order], s[order]
+        bucket = (s % np.uint64(buckets)).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        ends = np.append(cuts[1:], len(bucket))
+        # Differences of the ids are mostly 0, which shuffle files compress well.
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cuts], pa.int64()), pa.array(np.full(len(cuts), kind), pa.int32()), pa.array([np.diff(d[a:b], prepend=0).tobytes() for a, b in zip(cuts, ends)], pa.binary()), pa.array([s[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary())], ["bucket", "kind", "ids", "sigs"])
+
     def task(batches):
         ids, sigs, held = [], [], 0
 
         def flush():
             d, s = np.concatenate(ids), np.concatenate(sigs)
-            bucket = (s % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            d, s, bucket = d[order], s[order], bucket[order]
-            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-            ends = np.append(cuts[1:], len(bucket))
-            # Differences of the ids are mostly 0, which shuffle files compress well.
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts], pa.int64()), pa.array([np.diff(d[a:b], prepend=0).tobytes() for a, b in zip(cuts, ends)], pa.binary()), pa.array([s[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary())], ["bucket", "ids", "sigs"])
+            order = np.lexsort((d, s))
+            ds, ss = d[order], s[order]
+            cuts = np.flatnonzero(np.append(True, ss[1:] != ss[:-1]))
+            size = np.diff(np.append(cuts, len(ss)))
+            hot = size >= LOCAL
+            lists: dict[bytes, list] = {}
+            for a, n in zip(cuts[hot], size[hot]):
+                lists.setdefault(ds[a : a + n].tobytes(), []).append(ss[a])
+            plain = ~np.isin(s, ss[cuts[hot]])
+            yield packed(_PLAIN, d[plain], s[plain])
+            if lists:
+                yield packed(_FIRSTS, ds[cuts[hot]], ss[cuts[hot]])
+                members = [np.frombuffer(m, np.int64) for m in lists]
+                where = [buckets + int(common.mix(m.view(np.uint64)).sum(dtype=np.uint64) % np.uint64(buckets)) for m in members]
+                yield pa.RecordBatch.from_arrays([pa.array(where, pa.int64()), pa.array([_LISTS] * len(members), pa.int32()), pa.array([np.diff(m, prepend=0).tobytes() for m in members], pa.binary()), pa.array([np.array(x, np.uint64).tobytes() for x in lists.values()], pa.binary())], ["bucket", "kind", "ids", "sigs"])
 
         for batch in batches:
             for doc, x in zip(batch.column("doc_id").to_pylist(), _sets(batch.column("text"))):
@@ -165,17 +192,39 @@ def _postings(frequent, buckets: int):
 
 
 def _groups(df: pd.DataFrame) -> pd.DataFrame:
-    """A bucket's postings: the distinct groups of two or more documents that share a signature."""
-    ids = np.concatenate([np.cumsum(np.frombuffer(x, np.int64)) for x in df["ids"]])
-    sigs = np.concatenate([np.frombuffer(x, np.uint64) for x in df["sigs"]])
-    order = np.lexsort((ids, sigs))
-    ids, sigs = ids[order], sigs[order]
-    cuts = np.flatnonzero(np.append(True, sigs[1:] != sigs[:-1]))
-    size = np.diff(np.append(cuts, len(sigs)))
-    two = cuts[size == 2]
-    pairs = np.unique(np.stack([ids[two], ids[two + 1]], 1), axis=0) if len(two) else np.zeros((0, 2), np.int64)
-    more = {ids[a : a + n].tobytes() for a, n in zip(cuts[size > 2], size[size > 2])}
-    return pd.DataFrame({"members": [*pairs, *(np.frombuffer(x, np.int64) for x in more)]})
+    """A bucket's postings: the distinct pairs and lists of documents that share a signature, none longer than CUT (parts of a cut list share
+    their first member). sigs: the signatures whose documents stand in more than one list; other lists are a signature's documents, all."""
+    ids = [np.cumsum(np.frombuffer(x, np.int64)) for x in df["ids"]]
+    sigs = [np.frombuffer(x, np.uint64) for x in df["sigs"]]
+    more: dict[bytes, list] = {}
+    pairs = np.zeros((0, 2), np.int64)
+    if df["kind"].iat[0] == _LISTS:
+        for m, s in zip(ids, sigs):
+            more.setdefault(m.tobytes(), []).extend(s)
+    else:
+        many = np.repeat(df["kind"].to_numpy() == _FIRSTS, [len(x) for x in ids])
+        ids, sigs = np.concatenate(ids), np.concatenate(sigs)
+        order = np.lexsort((ids, sigs))
+        ids, sigs, many = ids[order], sigs[order], many[order]
+        cuts = np.flatnonzero(np.append(True, sigs[1:] != sigs[:-1]))
+        size = np.diff(np.append(cuts, len(sigs)))
+        many = np.add.reduceat(many.astype(np.int64), cuts) > 0
+        two = cuts[(size == 2) & ~many]
+        if len(two):
+            pairs = np.unique(np.stack([ids[two], ids[two + 1]], 1), axis=0)
+        on = (size > 2) | (size > 1) & many
+        for a, n, hot in zip(cuts[on], size[on], many[on]):
+            own = more.setdefault(ids[a : a + n].tobytes(), [])
+            if hot or n > CUT:
+                own.append(sigs[a])
+    members, shared = [*pairs], [[]] * len(pairs)
+    for m, s in more.items():
+        m = np.unique(np.frombuffer(m, np.int64))
+        if len(m) > 1:
+            parts = [m] if len(m) <= CUT else [np.append(m[:1], m[a : a + CUT - 1]) for a in range(1, len(m), CUT - 1)]
+            members += parts
+            shared += [np.array(s, np.uint64).view(np.int64) if len(s) else []] * len(parts)
+    return pd.DataFrame({"members": members, "sigs": shared})
 
 
 def _check(batches):
@@ -218,21 +267,23 @@ def join(docs: DataFrame, work: str, count_links: bool = False) -> DataFrame:
     which link with nothing. Equal sets are one class, represented by its smallest doc_id. n_links counts all other documents whose
     sets are similar to the row's, equal ones included: for it all members of a group are compared, while components need only those that
     are still apart. Rows that share a doc_id count as one document where they link, and each is returned. A null doc_id takes no part:
-    its component_id is null.
+    its component_id is null. Other columns are left out.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     every = common.table(docs.mapInArrow(_digests, "doc_id long, n_shingles long, key binary, sketch binary"), f"{work}/digests")
     known = every.where("key is not null and doc_id is not null")
-    classes = common.table(known.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"), F.sum("n_shingles").alias("total")), f"{work}/classes")
-    copies = classes.where("n > 1").select("key", "first")
-    copies = common.table(copies, f"{work}/copied")
-    later = common.table(known.join(common.small(copies), "key").where("doc_id <> first").select(F.col("first").alias("u"), F.col("doc_id").alias("v")), f"{work}/copies")
+    firsts = known.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
+    later = known.select("key", "doc_id").join(firsts, "key").where("doc_id <> first").select(F.col("first").alias("u"), F.col("doc_id").alias("v"))
+    later = common.table(later, f"{work}/copies")
+    # Documents whose rows differ belong to several classes, which so become one component.
+    several = known.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select(F.col("doc_id").alias("v"))
     texts = docs.where("doc_id is not null")
     alone = texts.join(common.small(later.select(F.col("v").alias("doc_id")).distinct()), "doc_id", "left_anti")
 
-    stats = classes.agg(F.count("*").alias("sets"), F.sum(F.col("total") / F.col("n")).alias("size")).first()
-    n_sets, n_elements = stats["sets"], stats["size"] or 0
+    stats = known.agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("size")).first()
+    n_sets = stats["rows"] - later.count()
+    n_elements = (stats["size"] or 0) * n_sets / max(1, stats["rows"])
     rate = int(min(1.0, SAMPLE_DOCS / max(n_sets, 1)) * (1 << 20))
     sample = alone.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < rate)
 
@@ -242,57 +293,77 @@ def join(docs: DataFrame, work: str, count_links: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64))], ["x"])
 
     often = max(4, int(FREQUENT * min(SAMPLE_DOCS, n_sets)))
-    frequent = sample.mapInArrow(elements, "x long").groupBy("x").count().where(F.col("count") >= often).orderBy(F.desc("count"), "x").limit(FREQUENT_MOST).select("x").toPandas()["x"].to_numpy(np.int64)
+    with common.batch_rows(spark, common.BATCH_ROWS):
+        frequent = sample.mapInArrow(elements, "x long").groupBy("x").count().where(F.col("count") >= often).orderBy(F.desc("count"), "x").limit(FREQUENT_MOST).select("x").toPandas()["x"].to_numpy(np.int64)
     shared = spark.sparkContext.broadcast(np.sort(frequent.view(np.uint64)))
 
     buckets = max(12, int(0.62 * n_elements / BUCKET) + 1)
-    postings = alone.mapInArrow(_postings(shared, buckets), "bucket long, ids binary, sigs binary")
-    groups = common.table(postings.groupBy("bucket").applyInPandas(_groups, "members array<long>"), f"{work}/groups")
-    pairs = groups.where(F.size("members") == 2).select(F.col("members")[0].alias("u"), F.col("members")[1].alias("v"))
-    large = common.table(groups.where(F.size("members") > 2).distinct().withColumn("group", F.xxhash64("members")), f"{work}/large")
-    stars = large.select(F.col("members")[0].alias("u"), F.explode(F.slice("members", F.lit(2), F.size("members"))).alias("v"))
+    postings = alone.mapInArrow(_postings(shared, buckets), "bucket long, kind int, ids binary, sigs binary")
+    groups = postings.groupBy("bucket").applyInPandas(_groups, "members array<long>, sigs array<long>")
+    groups = common.table(groups.withColumn("list", F.xxhash64("members")), f"{work}/groups")
+    shared.unpersist()
+    pairs = groups.select(F.col("members")[0].alias("u"), F.explode(F.slice("members", F.lit(2), F.size("members"))).alias("v"))
+    lists = groups.where((F.size("members") > 2) | (F.size("sigs") > 0))
 
     sketches = known.select("doc_id", F.col("n_shingles").alias("n"), "sketch")
-    tried = common.table(pairs.unionByName(stars).distinct(), f"{work}/tried0")
+    tried = pairs.distinct()
     links = _verify(texts, sketches, tried, f"{work}/verify0")
-    found = later.unionByName(links)
-    comp = components(links, f"{work}/components0")
-    last = False
+    linked = later.join(several, "v", "left_semi").select("u", "v").unionByName(links)
     if count_links:
-        rows = common.table(large.select("group", F.explode("members").alias("doc")).withColumn("component", F.col("doc")), f"{work}/rows0")
-        new = common.table(_exhaustive(rows, sketches, f"{work}/blocks0").distinct().join(tried, ["u", "v"], "left_anti"), f"{work}/rest0")
-        links = links.unionByName(_verify(texts, sketches, new, f"{work}/verify_rest"))
-        comp = components(links, f"{work}/components_rest")
+        rows = common.table(_of_groups(lists).join(lists.select("list", F.explode("members").alias("doc")), "list").select("group", "doc", F.col("doc").alias("component")).distinct(), f"{work}/rows0")
+        more = _verify(texts, sketches, _exhaustive(rows, sketches, f"{work}/blocks0").distinct().join(tried, ["u", "v"], "left_anti"), f"{work}/verify_rest")
+        links, linked = links.unionByName(more), linked.unionByName(more)
+    comp = common.table(components(linked, f"{work}/components0"), f"{work}/comp0")
+    last = False
     for k in () if count_links else range(1, STARS + 2):
-        if large.isEmpty():
-            break
-        comp = common.table(comp, f"{work}/comp{k}")
-        rows = large.select("group", F.explode("members").alias("doc")).join(common.small(comp.withColumnRenamed("node", "doc")), "doc", "left").select("group", "doc", F.coalesce("component", "doc").alias("component"))
-        sizes = rows.groupBy("group", "component").agg(F.count("*").alias("n")).groupBy("group").agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("apart"))
-        open_ = common.table(sizes.where("apart > 0"), f"{work}/open{k}")
-        apart = (open_.agg(F.sum("apart")).first()[0] or 0) / 2
+        rows = common.table(_apart(lists, comp), f"{work}/rows{k}")
+        apart = (rows.groupBy("group", "component").agg(F.count("*").alias("n")).groupBy("group").agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("n")).agg(F.sum("n")).first()[0] or 0) / 2
         if not apart:
             break
-        rows = common.table(rows.join(common.small(open_), "group", "left_semi"), f"{work}/rows{k}")
         last = last or apart <= PAIRS or k > STARS
         if not last:
-            centre = common.table(rows.groupBy("group").agg(F.min(F.struct(F.xxhash64("doc", F.lit(k)).alias("h"), F.col("doc").alias("c"), F.col("component").alias("cc"))).alias("s")).select("group", "s.c", "s.cc"), f"{work}/centre{k}")
-            new = rows.join(common.small(centre), "group").where("component <> cc").select(F.least("doc", "c").alias("u"), F.greatest("doc", "c").alias("v"))
+            centre = rows.groupBy("group").agg(F.min(F.struct(F.xxhash64("doc", F.lit(k)).alias("h"), F.col("doc").alias("c"), F.col("component").alias("cc"))).alias("s")).select("group", "s.c", "s.cc")
+            new = rows.join(centre, "group").where("component <> cc").select(F.least("doc", "c").alias("u"), F.greatest("doc", "c").alias("v"))
         else:
             new = _exhaustive(rows, sketches, f"{work}/blocks{k}")
         new = common.table(new.distinct().join(tried, ["u", "v"], "left_anti"), f"{work}/tried{k}")
         tried = tried.unionByName(new)
         more = _verify(texts, sketches, new, f"{work}/verify{k}")
-        found, links = found.unionByName(more), links.unionByName(more)
-        if not more.isEmpty():
-            comp = components(comp.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), f"{work}/components{k}")
+        n_more = more.count()
+        if n_more:
+            comp = common.table(components(comp.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), f"{work}/components{k}"), f"{work}/comp{k}")
         if last:
             break
-        last = more.count() * 50 < new.count()  # few links are left to find
-    named = components(later.unionByName(comp.select(F.col("node").alias("u"), F.col("component").alias("v"))), f"{work}/named")
-    named = common.table(named.withColumnRenamed("node", "doc_id"), f"{work}/names")
-    out = every.join(common.small(named), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), "key")
-    if not count_links:
+        last = n_more * 50 < new.count()  # few links are left to find
+    return common.result(_named(every, later, several, comp, links if count_links else None, known, work), work)
+
+
+def _of_groups(lists: DataFrame) -> DataFrame:
+    """(list, group): the signatures whose documents the list holds a part of, or the list itself."""
+    group = F.explode(F.when(F.size("sigs") > 0, F.col("sigs")).otherwise(F.array("list")))
+    return lists.select("list", group.alias("group")).distinct()
+
+
+def _apart(lists: DataFrame, comp: DataFrame) -> DataFrame:
+    """(group, doc, component) of the groups of three or more whose members aren't all in one component; of groups of the same members one.
+
+    A group's lists share members, so that it is in one component if each of its lists is."""
+    placed = lists.select("list", F.explode("members").alias("doc")).distinct().join(common.small(comp.withColumnRenamed("node", "doc")), "doc", "left").select("list", "doc", F.coalesce("component", "doc").alias("component"))
+    open_ = placed.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("list")
+    group = _of_groups(lists)
+    some = group.join(open_, "list").select("group").distinct()
+    rows = group.join(some, "group", "left_semi").join(placed, "list").select("group", "doc", "component").distinct()
+    mark = rows.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("h")).where("n > 2")
+    return rows.join(mark.groupBy("n", "h").agg(F.min("group").alias("group")).select("group"), "group", "left_semi")
+
+
+def _named(every: DataFrame, later: DataFrame, several: DataFrame, comp: DataFrame, links: DataFrame | None, known: DataFrame, work: str) -> DataFrame:
+    """every with its component: a copy's is its class's, and that of a document of several classes its own, which holds them."""
+    copies = later.join(several, "v", "left_anti").groupBy("v").agg(F.min("u").alias("node"))
+    copies = copies.join(comp, "node", "left").select(F.col("v").alias("doc_id"), F.coalesce("component", "node").alias("component"))
+    named = comp.withColumnRenamed("node", "doc_id").join(copies.select("doc_id"), "doc_id", "left_anti").unionByName(copies)
+    out = every.join(common.small(common.table(named, f"{work}/named")), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), "key")
+    if links is None:
         return out.drop("key")
     return out.join(common.small(_n_links(known, links, work)), "key", "left").select("doc_id", "n_shingles", "component_id", F.when(F.col("doc_id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"))
 
@@ -307,44 +378,35 @@ def _n_links(known: DataFrame, links: DataFrame, work: str) -> DataFrame:
     return common.table(sizes.join(linked, "rep", "left").select("key", (F.col("size") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")), f"{work}/n_links")
 
 
-def _of(sketches: DataFrame, ids: DataFrame, path: str) -> DataFrame:
-    """One row for each of the ids (doc_id, distinct)."""
-    some = common.table(sketches.join(common.small(ids), "doc_id", "left_semi"), path)
-    return some if some.count() == ids.count() else some.dropDuplicates(["doc_id"])
-
-
 def _exhaustive(rows: DataFrame, sketches: DataFrame, path: str) -> DataFrame:
     """rows: (group, doc, component). Pairs of a group's members in different components that can be similar. Blocks of a group meet two by two."""
-    own = _of(sketches, common.table(rows.select(F.col("doc").alias("doc_id")).distinct(), f"{path}_ids"), f"{path}_sketches")
+    own = sketches.join(rows.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     cuts = rows.groupBy("group").agg(F.ceil(F.count("*") / MEET).alias("cuts"))
-    placed = rows.join(common.small(common.table(cuts, f"{path}_cuts")), "group").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("cuts")))
+    placed = rows.join(cuts, "group").join(own.withColumnRenamed("doc_id", "doc"), "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("cuts")))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
-    cells = placed.join(own.withColumnRenamed("doc_id", "doc"), "doc").groupBy("group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    held = common.table(cells.agg(F.collect_list(F.struct("doc", "component", "n", "block", "sketch")).alias("g")), f"{path}_cells")
-    with common.batch_rows(rows.sparkSession, 10):
-        return common.table(held.select("low", "high", "g").mapInArrow(_across, "u long, v long"), f"{path}_pairs")
+    cells = placed.groupBy("group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    held = cells.agg(F.collect_list(F.struct("doc", "component", "n", "block", "sketch")).alias("g"))
+    return common.table(held.select("low", "high", "g").mapInArrow(_across, "u long, v long"), f"{path}_pairs", 10)
 
 
 def _verify(texts: DataFrame, sketches: DataFrame, pairs: DataFrame, work: str) -> DataFrame:
-    """Of the pairs those whose sets are similar. Pairs whose sketches differ too much go first; only sets of documents in the others are made, once."""
+    """Of the pairs (distinct) those whose sets are similar. Pairs whose sketches differ too much go first; only sets of documents in the
+    others are made, once."""
 
-    def two(sides, c):
+    def two(pairs, sides, c):
         left, right = (sides.select(F.col("doc_id").alias(k), *[F.col(a).alias(b) for a, b in zip(c, n)]) for k, n in (("u", ("x", "n")), ("v", ("y", "m"))))
         return pairs.join(right, "v").join(left, "u")
 
-    need = common.table(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), f"{work}/asked")
-    pairs = common.table(two(_of(sketches, need, f"{work}/sketches"), ("sketch", "n")).select("u", "v", "x", "y", "n", "m").mapInArrow(_may, "u long, v long"), f"{work}/may")
-    need = common.table(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), f"{work}/need")
+    # Rows that share a doc_id may say a pair more than once.
+    may = common.table(two(pairs, sketches, ("sketch", "n")).select("u", "v", "x", "y", "n", "m").mapInArrow(_may, "u long, v long"), f"{work}/may")
+    need = may.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
 
     def sets(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in _sets(batch.column("text"))], pa.binary())], ["doc_id", "x"])
 
     made = common.table(texts.join(common.small(need), "doc_id", "left_semi").mapInArrow(sets, "doc_id long, x binary").where("octet_length(x) > 0"), f"{work}/sets")
-    if made.count() != need.count():
-        made = made.dropDuplicates(["doc_id"])
-    with common.batch_rows(texts.sparkSession, 25):
-        return common.table(two(made, ("x",)).select("u", "v", "x", "y").mapInArrow(_check, "u long, v long"), f"{work}/links")
+    return common.table(two(may.distinct(), made, ("x",)).select("u", "v", "x", "y").mapInArrow(_check, "u long, v long"), f"{work}/links", 25)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,9 +22,12 @@ def _tokens(t):
     return (t or "").encode().lower().split()
 
 
-def test_jaccard_join_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("local, cut", [(8, 5000), (2, 4)])
+def test_jaccard_join_against_brute_force(spark, monkeypatch, local, cut):
     monkeypatch.setattr(jaccard_join, "PAIRS", 10)
     monkeypatch.setattr(jaccard_join, "MEET", 7)
+    monkeypatch.setattr(jaccard_join, "LOCAL", local)
+    monkeypatch.setattr(jaccard_join, "CUT", cut)
     met = []
     exhaustive = jaccard_join._exhaustive
     monkeypatch.setattr(jaccard_join, "_exhaustive", lambda *a: met.append(1) or exhaustive(*a))
