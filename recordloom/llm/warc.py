@@ -1,9 +1,10 @@
 """WARC archives as a Spark source and sink; the reader verifies the chain of record boundaries.
 
 Writing: records are lines of the text sink whose separator is a record's end, so that the archives lie wherever Spark can write.
-Reading: the text source cuts the archives at whatever looks like a record's start, in parallel and within splits. Each piece is a
-candidate record, which names its successor's offset. Pointer jumping from each file's start keeps the candidates that the chain
-reaches; a magic inside a payload isn't reached, and its piece goes back to the record that holds it.
+Reading: the text source cuts the archives at each version line ("WARC/1.0" and a line end, which can't overlap itself), in parallel and
+within splits. A piece whose predecessor ends like a record is a candidate record, which names its successor's offset. Pointer jumping
+from each file's start keeps the candidates that the chain reaches; a magic inside a payload isn't reached, and its piece goes back to
+the record that holds it. A chain must end where its file ends, and payloads must have the digests that their records declare.
 """
 
 from __future__ import annotations
@@ -61,86 +62,117 @@ def _field(head, name: str):
 
 
 def _parsed(df: DataFrame) -> DataFrame:
-    """value: a record without its version line. Adds its fields, its payload, and whether the payload is whole."""
+    """value: a record without its version line. Adds its fields, its payload, and how many bytes the record says it has (null: it doesn't say)."""
     parts = df.withColumn("_p", F.split("value", END, 3))
     head, http = F.get("_p", F.lit(0)), F.coalesce(F.get("_p", F.lit(1)), F.lit(""))
     rest = F.coalesce(F.get("_p", F.lit(2)), F.lit(""))
     number = lambda c, name: _field(c, name).try_cast("bigint")
-    out = parts.withColumns({"length": number(head, "Content-Length"), "full_bytes": number(http, "Content-Length"), "_rest": rest, "_head": F.octet_length(head), "_http": F.octet_length(http)})
-    out = out.withColumn("_want", F.col("length") - F.col("_http") - 4)
-    payload = F.when((F.octet_length("_rest") == F.col("_want") + 4) & F.col("_rest").endswith(END), F.expr("left(_rest, length(_rest) - 4)")).otherwise(F.col("_rest"))
+    out = parts.withColumns({"length": number(head, "Content-Length"), "full_bytes": number(http, "Content-Length"), "_rest": rest, "_head": F.octet_length(head)})
+    payload = F.when(F.col("_rest").endswith(END), F.expr("left(_rest, length(_rest) - 4)")).otherwise(F.col("_rest"))
     uri = lambda name: F.regexp_extract(_field(head, name), "^<urn:page:(-?[0-9]+)>", 1).try_cast("bigint")
-    return out.withColumns({"payload": payload, "page_id": uri("WARC-Record-ID"), "refers_to": uri("WARC-Refers-To"), "record_type": _field(head, "WARC-Type"), "url": _field(head, "WARC-Target-URI"), "declared": F.regexp_replace(_field(head, "WARC-Payload-Digest"), "^sha256:", "")}).withColumns(
-        {"whole": F.octet_length("payload") == F.col("_want"), "record_bytes": F.col("_head") + F.col("length") + 18}
+    return out.withColumns({"payload": payload, "page_id": uri("WARC-Record-ID"), "refers_to": uri("WARC-Refers-To"), "record_type": _field(head, "WARC-Type"), "url": _field(head, "WARC-Target-URI"), "declared": F.regexp_replace(_field(head, "WARC-Payload-Digest"), "^sha256:", "")}).withColumn(
+        "record_bytes", F.col("_head") + F.col("length") + len(VERSION) + 2 * len(END)
     )
 
 
-def chain(offset: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Which candidates the chain from offset 0 reaches. offset: ascending; size: of the whole record, or below 1 if unknown.
+def chain(offset: np.ndarray, size: np.ndarray, total: int) -> np.ndarray:
+    """Which candidates the chain from offset 0 reaches and which of them are whole. offset: of the candidates, ascending; size: of the whole
+    record, or below 1 if unknown; total: the file's bytes.
 
-    Pointer jumping: each round every candidate's pointer doubles its reach, and what reached ones point at is reached.
+    Pointer jumping: each round every candidate's pointer doubles its reach, and what reached ones point at is reached. A pointer leads to
+    the candidate at its record's end, to the file's end (n), or nowhere (n + 1): such a record is broken, and the last that is reached.
     """
     n = len(offset)
     end = offset + size
     at = np.searchsorted(offset, end)
-    jump = np.where((size > 0) & (at < n) & (offset[np.minimum(at, n - 1)] == end), at, n)
-    jump = np.append(jump, n)
-    reach = np.zeros(n + 1, bool)
-    reach[0] = n > 0 and offset[0] == 0 and size[0] > 0
+    jump = np.where((size > 0) & (at < n) & (offset[np.minimum(at, max(n - 1, 0))] == end), at, n + 1) if n else np.zeros(0, np.int64)
+    jump = np.where((size > 0) & (end == total), n, jump)
+    jump = np.append(jump, [n, n + 1])
+    first = jump.copy()
+    reach = np.zeros(n + 2, bool)
+    reach[0] = n > 0 and offset[0] == 0
     for _ in range(max(1, n).bit_length() + 1):
         reach[jump[reach]] = True
         jump = jump[jump]
-    return reach[:n] & (size > 0)
+    return reach[:n] & (first[:n] <= n)
 
 
-_CHAIN = "file string, block long, seq long, record long, part int, parts int, page_id long, refers_to long, record_type string, url string, declared string, full_bytes long, payload_bytes long, payload_digest string"
+_FIELDS = "page_id long, refers_to long, record_type string, url string, declared string, full_bytes long, payload_bytes long, payload_digest string"
+_CHAIN = f"file string, record long, part int, parts int, piece string, {_FIELDS}"
+_COLUMNS = [c.split()[0] for c in _CHAIN.split(", ")]
 
 
 def _reached(df: pd.DataFrame) -> pd.DataFrame:
-    """One file's candidates in order: those reached, and with them the pieces that their payloads run over."""
+    """One file's pieces in order: the records reached, each with the pieces that its payload runs over. Where the chain doesn't end at the
+    file's end, a last row says so: record_type "damaged", record the offset from which on nothing is read, payload_bytes what that is."""
     df = df.sort_values(["block", "seq"], kind="stable").reset_index(drop=True)
-    gap = len(END) + len(VERSION)  # every piece stands without its version line and without its end
-    offset = np.concatenate([[0], np.cumsum(df["n"].to_numpy(np.int64) + gap)[:-1]])
-    kept = np.flatnonzero(chain(offset, df["record_bytes"].fillna(0).to_numpy(np.int64)))
-    owner = np.searchsorted(kept, np.arange(len(df)), "right") - 1
-    ends = np.append(kept[1:], len(df))
-    if len(kept):
-        ends[-1] = np.searchsorted(offset, offset[kept[-1]] + int(df["record_bytes"].iat[kept[-1]]))
-    on = (owner >= 0) & (np.arange(len(df)) < ends[owner]) if len(kept) else np.zeros(len(df), bool)
-    out = df[on].copy()
-    mine = owner[on]
-    out["record"], out["part"], out["parts"] = offset[kept[mine]], np.flatnonzero(on) - kept[mine], (ends - kept)[mine]
-    return out[[c.split()[0] for c in _CHAIN.split(", ")]]
-
-
-def read(spark: SparkSession, path: str, work: str) -> DataFrame:
+    n = df["n"].to_numpy(np.int64)
+    # A version line stands before each piece but the first, which is what stands before the first version line: nothing, in a sound file.
+    offset = np.concatenate([[0], np.cumsum(n + len(VERSION))[:-1]]) - len(VERSION)
+    total = int((n + len(VERSION)).sum()) - len(VERSION)
+    before = np.concatenate([[False], df["ends"].to_numpy(bool)[:-1]])
+    before[1:2] |= n[:1] == 0
+    pieces = np.flatnonzero(before)
+    kept = pieces[chain(offset[pieces], df["record_bytes"].fillna(0).to_numpy(np.int64)[pieces], total)]
+    size = df["record_bytes"].fillna(0).to_numpy(np.int64)[kept]
+    stop = np.searchsorted(offset, offset[kept] + size)
+    rows = np.concatenate([np.arange(a, b) for a, b in zip(kept, stop)]) if len(kept) else np.zeros(0, np.int64)
+    parts = stop - kept
+    out = df.iloc[rows].copy()
+    out["record"], out["parts"], out["part"] = np.repeat(offset[kept], parts), np.repeat(parts, parts), rows - np.repeat(kept, parts)
+    read = int(offset[kept[-1]] + size[-1]) if len(kept) else 0
+    out = out[_COLUMNS]
+    if read < total:
+        end = {"file": df["file"].iat[0], "record": read, "part": 0, "parts": 1, "record_type": "damaged", "payload_bytes": total - read}
+        out = pd.concat([out.astype(object), pd.DataFrame([{c: end.get(c) for c in _COLUMNS}], dtype=object)], ignore_index=True)
+    return out.astype(object).where(out.notna(), None)
+
+
+class Damaged(ValueError):
+    """An archive whose chain of records doesn't end at its end, or whose payloads don't have the declared digests."""
+
+
+def read(spark: SparkSession, path: str, work: str, damaged: str = "raise") -> DataFrame:
     """The records of the archives under path: page_id, url, record_type, refers_to, declared digest, and of the payload its bytes and digest.
 
-    For a revisit the two are of the payload that it stands for, as it declares them. Of a damaged file the records up to the damage are read.
-    What goes to one task for each file is a row of numbers for each record, never a payload.
+    For a revisit the two are of the payload that it stands for, as it declares them. damaged: "raise" (an error if any file is damaged)
+    or "report": of a damaged file the records up to the damage, and for the rest a row of record_type "damaged" whose payload_bytes are
+    those not read, its url the file; a response whose payload hasn't the declared digest has record_type "damaged", too. Files without a
+    byte hold no record. What goes to one task for each file is a row of numbers for each piece, never a payload; payloads that a magic
+    cut into pieces are put together from pieces found by their own digests.
     """
-    lines = spark.read.option("lineSep", END + VERSION).text(path)
-    raw = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")).withColumn("seq", F.monotonically_increasing_id())
-    raw = raw.withColumn("n", F.octet_length("value").cast("long")).withColumn("first", F.col("value").startswith(VERSION) & (F.col("block") == 0))
-    bare = raw.withColumn("value", F.when(F.col("first"), F.expr(f"substr(value, {len(VERSION) + 1})")).otherwise(F.col("value"))).withColumn("n", F.col("n") - F.when(F.col("first"), F.lit(len(VERSION))).otherwise(F.lit(0)))
-    # The first piece keeps its version line and the others lost theirs to the separator: without it all begin alike.
-    seen = _parsed(bare).select("file", "block", "seq", "n", "record_bytes", "page_id", "refers_to", "record_type", "url", "declared", "full_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"))
+    if damaged not in ("raise", "report"):
+        raise ValueError(f"damaged: {damaged}")
+    lines = spark.read.option("lineSep", VERSION).text(path)
+    raw = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    seen = _parsed(raw.withColumn("seq", F.monotonically_increasing_id()))
+    seen = seen.select("file", "block", "seq", F.octet_length("value").cast("long").alias("n"), F.col("value").endswith(END).alias("ends"), F.sha2("value", 256).alias("piece"), "record_bytes", "page_id", "refers_to", "record_type", "url", "declared", "full_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"))
     found = common.table(seen.groupBy("file").applyInPandas(_reached, _CHAIN), f"{work}/chain")
-    keep = ["page_id", "url", "record_type", "refers_to", "declared", "full_bytes", "payload_bytes", "payload_digest"]
-    alone = found.where("parts = 1").select(*keep)
-    broken = found.where("parts > 1").select("file", "block", "seq", "record", "part")
-    if not broken.isEmpty():
-        pieces = bare.select("file", "block", "seq", "value").join(common.small(broken), ["file", "block", "seq"])
-        whole = pieces.groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("part", "value"))).alias("p")).select(F.array_join("p.value", END + VERSION).alias("value"))
-        alone = alone.unionByName(_parsed(whole).select("page_id", "url", "record_type", "refers_to", "declared", "full_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest")))
-    revisit = F.col("record_type") == "revisit"
-    return alone.withColumns({"payload_bytes": F.when(revisit, F.col("full_bytes")).otherwise(F.col("payload_bytes")), "payload_digest": F.when(revisit, F.col("declared")).otherwise(F.col("payload_digest"))})
+    keep = [c.split()[0] for c in _FIELDS.split(", ")]
+    out = found.where("parts = 1").select("file", *keep)
+    cut = found.where("parts > 1").select("file", "record", "part", "piece")
+    if not cut.isEmpty():
+        values = raw.withColumn("piece", F.sha2("value", 256)).join(common.small(cut.select("piece").distinct()), "piece", "left_semi").select("piece", "value").dropDuplicates(["piece"])
+        pieces = common.table(values, f"{work}/pieces").join(cut, "piece")
+        whole = pieces.groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("part", "value"))).alias("p")).select("file", F.array_join("p.value", VERSION).alias("value"))
+        out = out.unionByName(_parsed(whole).select("file", "page_id", "url", "record_type", "refers_to", "declared", "full_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest")))
+    revisit, response = F.col("record_type") == "revisit", F.col("record_type") == "response"
+    out = out.withColumn("record_type", F.when(response & (F.col("declared") != "") & (F.col("declared") != F.col("payload_digest")), F.lit("damaged")).otherwise(F.col("record_type")))
+    out = out.withColumns({"payload_bytes": F.when(revisit, F.col("full_bytes")).otherwise(F.col("payload_bytes")), "payload_digest": F.when(revisit, F.col("declared")).otherwise(F.col("payload_digest")), "url": F.when(F.col("record_type") == "damaged", F.col("file")).otherwise(F.col("url"))})
+    out = common.table(out.select(*keep), f"{work}/records")
+    if damaged == "raise":
+        bad = [f"{r['url']}: {r['payload_bytes']} bytes" for r in out.where("record_type = 'damaged'").limit(5).collect()]
+        if bad:
+            raise Damaged("; ".join(bad))
+    return out
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = common.shared_dir(spark)
     write(common.source(spark, sf_dir, "pages"), f"{work}/archives", work)
-    return read(spark, f"{work}/archives", work).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    out = read(spark, f"{work}/archives", work).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    common.remove(spark, work, ("records",))
+    return out
 
 
 OP1_SQL = """
