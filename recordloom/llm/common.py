@@ -114,7 +114,10 @@ def batch_rows(spark: SparkSession, rows: int):
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; one in fewer files than there are cores is dealt out to all of them (a small file is often one row group, which is one task)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def crc_mod(column: str, n: int):

@@ -86,29 +86,48 @@ def test_components(spark, monkeypatch, one):
     assert got == {**{i: 0 for i in range(41)}, 100: 0, 200: 200, 201: 200} and module
 
 
-def test_lm_against_brute_force(spark):
+def test_lm_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "BLOCK", 1500)
     rng = random.Random(1)
-    rows = [(i, " ".join(rng.choice(["the", "cat", "Sat", "on", "é", f"r{rng.randrange(40)}"]) for _ in range(rng.randrange(0, 30)))) for i in range(60)] + [(60, None), (61, " \n")]
-    df = _docs(spark, rows).withColumn("train", F.col("doc_id") % 3 != 0)
-    got = {r["doc_id"]: r for r in lm_scoring.score(df, common.shared_dir(spark), mu=5.0).collect()}
-    one, two = collections.Counter(), collections.Counter()
+    rows = [(i, " ".join(rng.choice(["the", "cat", "Sat", "on", "é", f"r{rng.randrange(40)}"]) for _ in range(rng.randrange(0, 30)))) for i in range(60)] + [(60, None), (61, " \n"), (62, "the cat " * 200), (62, "the cat"), (None, "the cat sat")]
+    df = _docs(spark, rows).withColumn("train", F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True))).coalesce(2)
+    one, two, three = collections.Counter(), collections.Counter(), collections.Counter()
     for i, t in rows:
-        if i % 3:
+        if i is None or i % 3:
             w = [*_tokens(t), 0]
             one.update(w)
             two.update(zip([1, *w], w))
+            three.update(zip([1, *w], w, w[1:]))
     n, v = sum(one.values()), len(one)
     entered = lambda h: one[0] if h == 1 else one[h]
-    root = lambda w: (one[w] + 1) / (n + v + 1)
-    p = lambda h, w: (two[h, w] + 5 * root(w)) / (entered(h) + 5) if entered(h) else root(w)
-    for h in (1, b"the", b"cat"):
-        assert math.isclose(sum(p(h, w) for w in one) + p(h, "unknown"), 1)
+    p1 = lambda w: (one[w] + 1) / (n + v + 1)
+    p2 = lambda b, w: (two[b, w] + 5 * p1(w)) / (entered(b) + 5)
+    p3 = lambda a, b, w: (three[a, b, w] + 2 * p2(b, w)) / (two[a, b] + 2)
+    for h in ((1, b"the"), (b"the", b"cat"), (b"x", b"y")):
+        assert math.isclose(sum(p3(*h, w) for w in one) + p3(*h, "unknown"), 1)
+    want = []
     for i, t in rows:
         w = [*_tokens(t), 0]
-        r = got[i]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (len(w), sum(one[x] > 0 for x in w), n, i % 3 == 0)
-        assert math.isclose(r["base_score"], sum(math.log10(root(x)) for x in w))
-        assert math.isclose(r["score"], sum(math.log10(p(h, x)) for h, x in zip([1, *w], w)))
+        score = math.log10(p2(1, w[0])) + sum(math.log10(p3(*x)) for x in zip([1, *w], w, w[1:]))
+        want.append((-1 if i is None else i, len(w), sum(one[x] > 0 for x in w), n, i is not None and i % 3 == 0, sum(math.log10(p1(x)) for x in w), score))
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"], r["base_score"], r["score"]) for r in lm_scoring.score(df, common.shared_dir(spark), mu=(5.0, 2.0)).collect())
+    for g, w in zip(got, sorted(want), strict=True):
+        assert g[:5] == w[:5] and math.isclose(g[5], w[5]) and math.isclose(g[6], w[6]), (g, w)
+    assert lm_scoring.score(df.limit(0), common.shared_dir(spark)).collect() == []
+    assert all(math.isclose(r["score"], 0.0, abs_tol=1e-9) for r in lm_scoring.score(df.withColumn("train", F.lit(None).cast("boolean")).where("text is null"), common.shared_dir(spark)).collect())
+
+
+def test_lm_automaton_walk_in_stretches(monkeypatch):
+    """Whatever the stretches, the walk gives each token what a walk over the whole texts gives it."""
+    rng = np.random.default_rng(5)
+    begin = np.array([0, 1, 40, 41, 300])
+    tokens = np.append(rng.integers(0, 6, 299), 0).astype(np.uint64)
+    tokens[begin[1:] - 1] = lm_scoring._END
+    ngrams = [(np.bincount(at[:170], minlength=len(d)), at) for _, d, at, *_ in lm_scoring._keys(tokens, begin, 4, 40)]
+    auto = lm_scoring.Automaton(ngrams, begin, 100, 6, (5.0, 2.0))
+    whole = auto.walk(begin)
+    monkeypatch.setattr(lm_scoring, "STRETCH", 7)
+    assert np.allclose(auto.walk(begin), whole)
 
 
 def test_secrets_against_python(spark):
