@@ -168,6 +168,58 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0] : off[-1]], off - off[0]
 
 
+def characters(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each character of UTF-8 rows, and each row's first. A character: a lead byte and the continuation bytes after it, of
+    which three count; so bytes that aren't UTF-8 have numbers, too."""
+    lead = (data & 0xC0) != 0x80
+    lead[off[:-1][np.diff(off) > 0]] = True
+    at = np.flatnonzero(lead)
+    codes = data[at].astype(np.uint32)
+    if len(at) < len(data):
+        size = np.diff(at, append=len(data))
+        for k in (1, 2, 3):
+            on = np.flatnonzero(size > k)
+            codes[on] |= data[at[on] + k].astype(np.uint32) << np.uint32(8 * k)
+    return codes, np.searchsorted(at, off)
+
+
+def windows(off: np.ndarray, most: int):
+    """Rows [i, j) of at most so many elements together, or a larger row's pieces: (i, j, begin, end). A row's pieces depend on it alone."""
+    i = 0
+    while i < len(off) - 1:
+        j = max(i + 1, int(np.searchsorted(off, off[i] + most, "right")) - 1)
+        if j == i + 1:
+            for a in range(int(off[i]), max(int(off[j]), int(off[i]) + 1), most):
+                yield i, j, a, min(a + most, int(off[j]))
+        else:
+            yield i, j, int(off[i]), int(off[j])
+        i = j
+
+
+def ngram_hashes(codes: np.ndarray, begin: np.ndarray, orders: int) -> list[np.ndarray]:
+    """For each n up to `orders` a hash of the n characters that end at each place; a text's start (places `begin`, ascending) stands before
+    it once, and n-grams reach back no further."""
+    own = mix(codes.astype(np.uint64) + np.uint64(301))
+    begin = begin[begin < len(codes)]
+    out, h = [own], own
+    for _ in range(orders - 1):
+        before = np.empty_like(h)
+        before[1:] = h[:-1]
+        before[begin] = 7
+        h = own + np.uint64(0x9E3779B97F4A7C15) * before
+        out.append(h)
+    return out
+
+
+def row_sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Each row's sum, by itself: it doesn't depend on what rows stand beside it."""
+    out = np.zeros(len(off) - 1)
+    some = np.flatnonzero(np.diff(off))
+    if len(some):
+        out[some] = np.add.reduceat(values, off[some], dtype=np.float64)
+    return out
+
+
 #: As SPACE, with all ASCII punctuation: what remains are words without it.
 PUNCT = SPACE.copy()
 PUNCT[[c for c in range(128) if not chr(c).isalnum()]] = True

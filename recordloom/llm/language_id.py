@@ -10,68 +10,42 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: n-grams of bytes of 1 to ORDERS, hashed to 2**BITS features; about so many documents (chosen by a hash of doc_id) teach.
+#: n-grams of 1 to ORDERS characters, hashed to 2**BITS features; about so many documents (chosen by a hash of doc_id) teach.
 ORDERS, BITS, SAMPLE_DOCS = 3, 15, 40_000
 #: Documents, about, that teach a language at least: all of them if it has fewer.
 LEAST_DOCS = 100
 #: Languages of a block: with 2**BITS features each this bounds what is collected, broadcast and held at once (16 MB). All blocks are asked.
 BLOCK_LANGS = 128
-_WINDOW = 1 << 18
+_WINDOW = 1 << 17
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LOWER[[9, 10, 11, 12, 13]] = 32
 _LOWER[48:58] = 48
-_CODES = common.mix(np.arange(301, 557, dtype=np.uint64))
-
-
-def _features(data: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
-    """For each order, the feature of the n-gram that ends at each byte; none reaches back over a text's beginning (`begin`, ascending)."""
-    codes = _CODES[_LOWER[data]]
-    begin = begin[begin < len(codes)]
-    out, h = [], np.zeros(len(codes), np.uint64)
-    for n in range(ORDERS):
-        if n:
-            before = np.roll(h, 1)
-            before[begin] = 7
-            h = codes + np.uint64(0x9E3779B97F4A7C15) * before
-        else:
-            h = codes.copy()
-        out.append((common.mix(h + np.uint64(n)) >> np.uint64(64 - BITS)).astype(np.int64))
-    return out
 
 
-def _windows(off: np.ndarray):
-    """Rows [i, j) of about a window's bytes, or a row's piece: (i, j, begin, end) in bytes."""
-    i = 0
-    while i < len(off) - 1:
-        j = max(i + 1, int(np.searchsorted(off, off[i] + _WINDOW, "right")) - 1)
-        if j == i + 1:
-            for a in range(int(off[i]), max(int(off[j]), int(off[i]) + 1), _WINDOW):
-                yield i, j, a, min(a + _WINDOW, int(off[j]))
-        else:
-            yield i, j, int(off[i]), int(off[j])
-        i = j
+def _features(codes: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+    """For each order, the feature of the n-gram that ends at each character; none reaches back over a text's beginning (`begin`, ascending)."""
+    return [(common.mix(h + np.uint64(n)) >> np.uint64(64 - BITS)).astype(np.int64) for n, h in enumerate(common.ngram_hashes(codes, begin, ORDERS))]
 
 
-def _piece(data: np.ndarray, begin: np.ndarray, a: int, b: int) -> list[np.ndarray]:
-    """The features of the bytes [a, b) of texts that begin at `begin`; a text cut at a is read as if it weren't."""
+def _piece(codes: np.ndarray, begin: np.ndarray, a: int, b: int) -> list[np.ndarray]:
+    """The features of the characters [a, b) of texts that begin at `begin`; a text cut at a is read as if it weren't."""
     lead = int(min(ORDERS - 1, max(0, a - begin[0])))
-    return [f[lead:] for f in _features(data[a - lead : b], np.maximum(begin - (a - lead), 0))]
+    near = begin - (a - lead)
+    return [f[lead:] for f in _features(codes[a - lead : b], near[near >= 0])]
 
 
-def _row_sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Each row's sum, by itself: it doesn't depend on what rows stand beside it."""
-    out = np.zeros(len(off) - 1)
-    some = np.flatnonzero(np.diff(off))
-    if len(some):
-        out[some] = np.add.reduceat(values, off[some], dtype=np.float64)
-    return out
+def _characters(text) -> tuple[np.ndarray, np.ndarray]:
+    """A text column's characters, A-Z lower-cased, white space as a space, any digit as 0, and each row's first."""
+    data, off = common.text_bytes(text)
+    return common.characters(_LOWER[data], off)
 
 
 def train(labelled: DataFrame, known: dict[str, int] | None = None, bits: int = BITS) -> list:
     """labelled: (text, lang), lang not null. Returns blocks of languages in order, as broadcasts: languages, log priors, and the matrix
     of log-probabilities (language, feature). known: how many documents each language has, if only a sample of them teaches."""
     spark = labelled.sparkSession
+    work = common.shared_dir(spark)
 
     def rows_of(total, docs):
         return pa.RecordBatch.from_pydict({"lang": pa.array(list(total), pa.string()), "docs": pa.array([docs[k] for k in total], pa.int64()), "counts": pa.array([v.tobytes() for v in total.values()], pa.binary())})
@@ -81,14 +55,14 @@ def train(labelled: DataFrame, known: dict[str, int] | None = None, bits: int =
         docs: dict[str, int] = {}
         for batch in batches:
             langs = np.array(batch.column("lang").to_pylist(), object)
-            data, off = common.text_bytes(batch.column("text"))
+            codes, off = _characters(batch.column("text"))
             for lang in set(langs.tolist()):
                 rows = np.flatnonzero(langs == lang)
                 docs[lang] = docs.get(lang, 0) + len(rows)
                 sums = total.setdefault(lang, np.zeros(1 << bits, np.int64))
                 for r in rows:
                     for a in range(int(off[r]), int(off[r + 1]), _WINDOW):
-                        for f in _piece(data, off[r : r + 1], a, min(a + _WINDOW, int(off[r + 1]))):
+                        for f in _piece(codes, off[r : r + 1], a, min(a + _WINDOW, int(off[r + 1]))):
                             np.add.at(sums, f, 1) if len(f) < 64 else sums.__iadd__(np.bincount(f, minlength=1 << bits))
                 if len(total) >= BLOCK_LANGS:
                     yield rows_of(total, docs)
@@ -100,7 +74,7 @@ def train(labelled: DataFrame, known: dict[str, int] | None = None, bits: int =
     def merge(df: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"lang": [df["lang"].iat[0]], "docs": [int(df["docs"].sum())], "counts": [sum(np.frombuffer(x, np.int64) for x in df["counts"]).tobytes()]})
 
-    merged = common.table(parts.groupBy("lang").applyInPandas(merge, "lang string, docs long, counts binary"), f"{common.shared_dir(spark)}/languages")
+    merged = common.table(parts.groupBy("lang").applyInPandas(merge, "lang string, docs long, counts binary"), f"{work}/languages")
     docs = {x["lang"]: x["docs"] for x in merged.select("lang", "docs").collect()}
     size = {k: (known or docs).get(k, n) for k, n in docs.items()}
     langs, every = sorted(docs), float(sum(size.values()))
@@ -111,6 +85,7 @@ def train(labelled: DataFrame, known: dict[str, int] | None = None, bits: int =
         counts = np.array([np.frombuffer(found[k], np.int64) for k in some]) + 0.5
         logp = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
         blocks.append(spark.sparkContext.broadcast((some, np.log([size[k] / every for k in some]), logp)))
+    common.remove(spark, work)
     return blocks
 
 
@@ -122,26 +97,28 @@ def _held(blocks: list):
             del block._value
 
 
-def predict(docs: DataFrame, blocks: list) -> DataFrame:
-    """docs with lang_pred and score added: the posterior of the predicted language, at even priors' odds tempered by the n-grams' overlap.
+def predict(docs: DataFrame, blocks: list, column: str | None = None, without: tuple[str, ...] = ()) -> DataFrame:
+    """docs with lang_pred and score added, the posterior of the predicted language, at even priors' odds tempered by the n-grams' overlap; or,
+    if a column is named, with a struct of both. It is written to the shared folder, without the columns named so.
 
     `und` with score 0 if the text is null, empty or without a letter, or if nothing was taught. Whole texts count; lang and
-    other columns are no inputs. A tie goes to the language that is first in code point order.
+    other columns are no inputs. A tie goes to the language that is first in code point order. Each row gives one row. docs' own columns
+    of these names become lang_pred_input and score_input.
     """
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def score(text: pa.Array) -> pa.Array:
-        data, off = common.text_bytes(text)
+        codes, off = _characters(text)
         rows = len(off) - 1
         top, rest, names = np.full(rows, -np.inf), np.zeros(rows), np.full(rows, "und", object)
         for langs, prior, logp in _held(blocks):
             sums = np.zeros((len(langs), rows))
-            for i, j, a, b in _windows(off):
+            for i, j, a, b in common.windows(off, _WINDOW):
                 if b > a:
-                    features, at = _piece(data, off[i:j], a, b), np.clip(off[i : j + 1], a, b) - a
+                    features, at = _piece(codes, off[i:j], a, b), np.clip(off[i : j + 1], a, b) - a
                     for k in range(len(langs)):
                         weight = logp[k]
-                        sums[k, i:j] += _row_sums(sum(weight[f] for f in features), at)
-            # An n-gram of each order ends at each byte; they overlap, so that their evidence counts once.
+                        sums[k, i:j] += common.row_sums(sum(weight[f] for f in features), at)
+            # An n-gram of each order ends at each character; they overlap, so that their evidence counts once.
             z = sums / ORDERS + prior[:, None]
             best, high = z.argmax(axis=0), z.max(axis=0)
             better = high > top  # of equals the earlier block's stands
@@ -154,8 +131,14 @@ def predict(docs: DataFrame, blocks: list) -> DataFrame:
         scores = np.where(known, 1 / np.maximum(rest, 1), 0.0)
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
-    out = docs.withColumn("_p", score(F.coalesce(F.col("text"), F.lit(""))))
-    return out.withColumns({"lang_pred": F.col("_p.lang_pred"), "score": F.col("_p.score")}).drop("_p")
+    told = score(F.coalesce(F.col("text"), F.lit("")))
+    if column:
+        out = docs.withColumn(column, told)
+    else:
+        docs = common.make_room(docs, "lang_pred", "score")
+        both = common.free(docs, "_told")
+        out = docs.withColumn(both, told).withColumns({"lang_pred": F.col(f"{both}.lang_pred"), "score": F.col(f"{both}.score")}).drop(both)
+    return common.result(out.drop(*without), common.shared_dir(docs.sparkSession))
 
 
 def _has_letter(text: pa.Array) -> list[bool]:
@@ -168,19 +151,24 @@ def _has_letter(text: pa.Array) -> list[bool]:
 def fit(docs: DataFrame, teaches) -> list:
     """Train on the rows for which the column `teaches` holds and lang is not null: on about SAMPLE_DOCS of them, chosen by a hash, and of each
     language about LEAST_DOCS or, if it has fewer, all."""
-    known = docs.where(teaches & F.col("lang").isNotNull())
-    sizes = common.table(known.groupBy("lang").agg(F.count("*").alias("_n")), f"{common.shared_dir(docs.sparkSession)}/sizes")
+    spark, text, lang = docs.sparkSession, F.col("text"), F.col("lang")
+    known = docs.where(teaches & lang.isNotNull()).select("doc_id", text, lang)
+    work = common.shared_dir(spark)
+    sizes = common.table(known.groupBy("lang").agg(F.count("*").alias("_n")), f"{work}/sizes")
     size = {r["lang"]: r["_n"] for r in sizes.collect()}
     rate = min(1.0, SAMPLE_DOCS / max(1, sum(size.values())))
     if rate < 1:
         share = F.greatest(F.lit(rate), F.least(F.lit(1.0), LEAST_DOCS / F.col("_n")))
         chosen = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < F.ceil(share * (1 << 20))
         known = known.join(common.small(sizes), "lang").where(chosen | (F.col("_n") <= LEAST_DOCS))
-    return train(known, size)
+    blocks = train(known, size)
+    common.remove(spark, work)
+    return blocks
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    common.shared_dir(spark)
     docs = common.source(spark, sf_dir, "documents")
     held = common.crc_mod("doc_id", 3) == 1
-    return predict(docs.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "text"), fit(docs, ~held)).drop("text")
+    told = common.free(docs, "_told")
+    out = predict(docs.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), F.col("text")), fit(docs, ~held), told, ("text",))
+    return out.select("doc_id", "held_out", f"{told}.lang_pred", f"{told}.score")

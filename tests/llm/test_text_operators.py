@@ -178,7 +178,7 @@ def test_language(spark):
     assert [r["lang_pred"] for r in language_id.predict(odd, fitted).orderBy("doc_id").collect()] == ["und", "und", "und", "en"]
     assert language_id.predict(odd, language_id.fit(df.limit(0), F.lit(True))).where("lang_pred <> 'und'").count() == 0
     # A long text cut into pieces has the features of the whole.
-    data = np.frombuffer(b"the eau ing que " * 40, np.uint8)
+    data = common.characters(np.frombuffer("the eau é 漢字 ing que ".encode() * 40, np.uint8), np.array([0, 40 * 29]))[0]
     whole = language_id._features(data, np.zeros(1, np.int64))
     cut = [language_id._piece(data, np.zeros(1, np.int64), a, min(a + 7, len(data))) for a in range(0, len(data), 7)]
     assert all((np.concatenate([c[n] for c in cut]) == whole[n]).all() for n in range(language_id.ORDERS))
@@ -298,3 +298,54 @@ def test_html_drops_only_raw_text():
         assert html_extraction.extract(page.format(mark), model) == whole, mark
     for mark in ("<p>As <math><mi>x</mi> <mo>=</mo> <mn>2</mn></math> holds.</p>", "<noscript><p>As x = 2 holds.</p></noscript>"):
         assert html_extraction.extract(page.format(mark), model) == whole.replace("stand here.", "stand here. As x = 2 holds."), mark
+
+
+def _mix(x):
+    m = (1 << 64) - 1
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & m
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & m
+    return x ^ x >> 31
+
+
+def _ngram(chars, start):
+    """A hash of characters, by the definition: the last one's code plus a multiple of the former ones'; a text's start is 7."""
+    h = 7 if start else None
+    for c in chars:
+        own = _mix(int.from_bytes(c.encode(), "little") + 301)
+        h = own if h is None else (own + 0x9E3779B97F4A7C15 * h) & (1 << 64) - 1
+    return h
+
+
+def _all_ngrams(text, orders):
+    """(n, characters, whether the text's start stands before them), for each character and n, as far as the text reaches back."""
+    for i in range(len(text)):
+        for n in range(1, orders + 1):
+            a = max(0, i + 1 - n)
+            yield n, text[a : i + 1], n > i + 1
+
+
+def test_language_against_brute_force(spark):
+    rng = random.Random(21)
+    parts = {"a": "the wh 12", "b": "éa uoù", "c": "漢字仮 名"}
+    rows = [(i, "".join(rng.choice(parts[k] + "e ") for _ in range(rng.randrange(1, 60))), k) for i, k in enumerate("abcab" * 12)] + [(90, None, "a"), (91, "A\tZ", None), (92, "9", "b"), (92, "9 é", "b")]
+    df = spark.createDataFrame([(*r, "own", 0.5) for r in rows], "doc_id long, text string, lang string, lang_pred string, Score double")
+    folded = lambda t: "".join(" " if c in "\t\n\x0b\x0c\r" else "0" if c in "0123456789" else c.lower() if c.isascii() else c for c in t or "")
+    feature = lambda n, g, s: _mix((_ngram(g, s) + n - 1) & (1 << 64) - 1) >> 64 - language_id.BITS
+    counts, docs = {k: collections.Counter() for k in "abc"}, collections.Counter()
+    for i, t, k in rows:
+        if k and i % 4:
+            docs[k] += 1
+            counts[k].update(feature(*x) for x in _all_ngrams(folded(t), language_id.ORDERS))
+    total = {k: sum(c.values()) + 0.5 * 2**language_id.BITS for k, c in counts.items()}
+    got = language_id.predict(df, language_id.fit(df, F.col("doc_id") % 4 != 0)).collect()
+    assert len(got) == len(rows) and all(r["lang_pred_input"] == "own" and r["Score_input"] == 0.5 for r in got)
+    found = sorted((r["doc_id"], r["text"] or "", r["lang_pred"], r["score"]) for r in got)
+    for (i, t, lang, score), (j, u, _) in zip(found, sorted((i, t or "", 0) for i, t, _ in rows), strict=True):
+        assert (i, t) == (j, u)
+        z = {k: sum(math.log((counts[k][feature(*x)] + 0.5) / total[k]) for x in _all_ngrams(folded(t), language_id.ORDERS)) / language_id.ORDERS + math.log(docs[k] / sum(docs.values())) for k in "abc"}
+        best = max(z, key=z.get)
+        if not any(c.isalpha() for c in t):
+            assert (lang, score) == ("und", 0)
+        else:
+            assert lang == best and math.isclose(score, 1 / sum(math.exp(v - z[best]) for v in z.values()), rel_tol=1e-4)
+    assert language_id.predict(df.limit(0), []).collect() == []
