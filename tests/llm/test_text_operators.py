@@ -199,8 +199,14 @@ def test_quality(spark):
     assert len(got) == 132
     assert sum(got[i]["keep"] for i in range(120)) >= 117 and not any(got[i]["keep"] for i in range(120, 132))
     assert got[130]["perplexity"] is None
-    _, logp = quality.train(docs.where("doc_id < 100").select("text"), common.shared_dir(spark))
-    assert np.allclose(np.exp(logp.astype(float)).reshape(-1, quality.SYMBOLS).sum(axis=1), 1, atol=1e-4)
+    # Empty tables, nothing trusted, null labels and ids, repeated rows, own columns.
+    empty = quality.classify(docs.limit(0), labels, common.shared_dir(spark))
+    assert empty.collect() == []
+    nothing = quality.classify(docs, labels.where("quality = 5"), common.shared_dir(spark)).collect()
+    assert len(nothing) == 132 and not any(r["keep"] for r in nothing) and {r["threshold"] for r in nothing} == {None}
+    odd = docs.where("doc_id in (1, 2, 130)").unionByName(docs.where("doc_id = 1")).unionByName(docs.where("doc_id = 3").withColumn("doc_id", F.lit(None).cast("long"))).withColumns({"perplexity": F.lit(7), "_id": F.lit(1), "_lang": F.lit("x"), "keep": F.lit(1)})
+    same = quality.classify(odd, labels.unionByName(spark.createDataFrame([(2, None, None), (None, 1, 0)], labels.schema)), common.shared_dir(spark)).collect()
+    assert sorted(str(r["doc_id"]) for r in same) == ["1", "1", "130", "2", "None"]
 
 
 def test_html(spark):
@@ -224,24 +230,76 @@ def test_html(spark):
     assert np.allclose(html_extraction.marginals(nodes, model), [b / (a + b) for a, b in total])
 
 
-def test_quality_tells_all_bytes_apart(spark):
+def _kneser_ney(texts, order):
+    """(p, alphabet size) of an interpolated modified Kneser-Ney model by its definition. An n-gram: (does the text's start stand before it, characters)."""
+    grams = {n: collections.Counter() for n in range(1, order + 1)}
+    for t in texts:
+        grams[order].update((s, g) for n, g, s in _all_ngrams(t, order) if n == order)
+    end = lambda x, n: (False, x[1][-n:]) if len(x[1]) >= n else x
+    for n in range(order - 1, 0, -1):
+        grams[n].update(end(x, n) for x in grams[n + 1])
+    context = lambda x: (x[0], x[1][:-1])
+    alphabet = len(grams[1])
+
+    def p(x, n):
+        if n == 0:
+            return 1 / (alphabet + 1)
+        x = end(x, n)
+        lower = p(x, n - 1)
+        total, left, own = 0, 0.0, 0.0
+        of = [max(1, sum(c == i for c in grams[n].values())) for i in range(1, 5)]
+        y = of[0] / (of[0] + 2 * of[1])
+        d = [min(0.95 * i, max(0.05 * i, i - (i + 1) * y * of[i] / of[i - 1])) for i in range(1, 4)]
+        for g, c in grams[n].items():
+            if n == 1 or context(g) == context(x):
+                total, left = total + c, left + d[min(c, 3) - 1]
+                own += (c - d[min(c, 3) - 1]) if g == x else 0
+        return (own + left * lower) / total if total else lower
+
+    return p, alphabet
+
+
+def test_quality_against_brute_force(spark):
+    rng = random.Random(11)
+    good = ["".join(rng.choice(["ab", "c ", "é", "漢", "bca"]) for _ in range(rng.randrange(1, 30))) for _ in range(25)]
+    model = quality.train(spark.createDataFrame([(t,) for t in good], "text string").repartition(3), common.shared_dir(spark))
+    p, alphabet = _kneser_ney(good, quality.ORDER)
+    assert math.isclose(model[-1], -math.log(alphabet + 1))
+    texts = [*good[:6], "abcab é", "zz漢z", "b", "", None, "caca ab" * 9]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {r["text"]: r["perplexity"] for r in quality.perplexity(docs, model).collect()}
+    for t in texts:
+        if not t:
+            assert got[t] is None
+            continue
+        logs = [math.log(p((s, g), quality.ORDER)) for n, g, s in _all_ngrams(t, quality.ORDER) if n == quality.ORDER]
+        assert math.isclose(got[t], math.exp(-sum(logs) / len(t)), rel_tol=1e-4), t
+    for h in ("ab", "é漢b", "zq"):
+        known = sorted({c for t in good for c in t})
+        assert math.isclose(sum(p((False, h[-3:] + c), quality.ORDER) for c in [*known, "?"]), 1, rel_tol=1e-9)
+
+
+def test_quality_perplexity_does_not_depend_on_its_batch(spark, monkeypatch):
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("abcdé ") for _ in range(rng.randrange(0, 90))) for _ in range(80)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = quality.train(df.limit(40), common.shared_dir(spark))
+    alone = {tuple(r) for r in quality.perplexity(df.repartition(60, "text"), model).collect()}
+    assert {tuple(r) for r in quality.perplexity(df.coalesce(1), model).collect()} == alone
+
+
+def test_quality_tells_all_characters_apart(spark):
     rng = random.Random(11)
     words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzBCDFGHJKLMNPQRSUVWXYZ") for _ in range(6)) for _ in range(60)]
     good = [" ".join([*(rng.choice(words) for _ in range(80)), "20481632", "~^`{}<>"]) for _ in range(60)]
-    texts = spark.createDataFrame([(t,) for t in good], "text string")
-    model = quality.train(texts, common.shared_dir(spark))
-    junk = {alphabet: "".join(rng.choice(alphabet) for _ in range(600)) for alphabet in ("0123456789", "~^`{}<>", "BCDFGHJKLMNPQRSUVWXYZ", "13579 ", "漢字仮名")}
-    docs = spark.createDataFrame([(t,) for t in [*good, *junk.values()]], "text string")
-    got = {r["text"]: r["perplexity"] for r in quality.perplexity(docs, model).collect()}
-    assert min(got[t] for t in junk.values()) > 2 * max(got[t] for t in good)
-    # After any context, taught or not, the probabilities of all bytes sum to 1, and no text's start is among them.
-    data = np.frombuffer(good[0].encode(), np.uint8)
-    for h in [*(np.unique(quality._grams(quality._symbols(data), np.zeros(1, np.int64))) // quality.SYMBOLS)[:40], 0, 255 * 257**2 + 7, 102]:
-        p = np.exp(quality.log_probability(int(h) * quality.SYMBOLS + np.arange(quality.SYMBOLS), model))
-        assert math.isclose(p[1:].sum(), 1, abs_tol=1e-4) and p[0] == 0
+    model = quality.train(spark.createDataFrame([(t,) for t in good], "text string"), common.shared_dir(spark))
+    junk = ["".join(rng.choice(alphabet) for _ in range(600)) for alphabet in ("0123456789", "~^`{}<>", "BCDFGHJKLMNPQRSUVWXYZ", "13579 ", "漢字仮名")]
+    got = {r["text"]: r["perplexity"] for r in quality.perplexity(spark.createDataFrame([(t,) for t in [*good, *junk]], "text string"), model).collect()}
+    assert min(got[t] for t in junk) > 2 * max(got[t] for t in good)
 
 
-def test_quality_threshold_is_the_quantile(spark):
+def test_quality_threshold_is_the_quantile(spark, monkeypatch):
+    monkeypatch.setattr(quality, "CALIBRATE", 1)  # all are held out: then those that teach set thresholds
     rng = random.Random(12)
     docs = spark.createDataFrame([(i, " ".join(rng.choice(["one", "two", "three", "quite", "other", "words"]) for _ in range(40)), "en" if i % 2 else "fr") for i in range(200)], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, int(i < 160), 0) for i in range(200)], "doc_id long, quality int, toxic int")
