@@ -153,27 +153,34 @@ def _matcher(spark: SparkSession, rows: list[tuple[int, str]], seed: int, least:
                 out[r].append({"item_id": item_id, "n_tiles": len(tiles), "covered": covered, "item_tokens": len(item), "coverage": covered / len(item)})
         return pa.array(out, pa.list_(pa.struct(fields)))
 
-    return match
+    return match, shared
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, least: int = TILE, coverage: float = COVERAGE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """docs with `leaks`: the benchmark items of whose tokens the text's tiles cover the given part or more.
+def mark(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, least: int = TILE, coverage: float = COVERAGE, block_chars: int = BLOCK_CHARS, column: str = "leaks", without: tuple[str, ...] = ()) -> DataFrame:
+    """docs with `column`: the benchmark items of whose tokens the text's tiles cover the given part or more. It is written to the shared folder,
+    without the columns named so. Each row gives one row; docs' own column of that name becomes <name>_input.
 
     Tokens: words without ASCII punctuation, A-Z lower-cased. Null text counts as empty and leaks nothing; an item of fewer tokens
-    than a tile is found where it stands whole, one without tokens never. Repeated items are each reported. The benchmark is broadcast in blocks of a set size.
+    than a tile is found where it stands whole, one without tokens never; null ids stay null. Repeated items are each reported. A benchmark
+    beyond block_chars goes in blocks of about that size, one after another: only one is on the driver and broadcast at a time.
     """
+    spark, work = docs.sparkSession, common.shared_dir(docs.sparkSession)
+    docs = common.make_room(docs, column.lower())
     items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-chars // block_chars) or 1
-    found = []
     for b in range(blocks):
         rows = sorted((tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()), key=str)
-        found.append(_matcher(docs.sparkSession, rows, seed, least, coverage)(F.coalesce(F.col("text"), F.lit(""))))
-    return docs.withColumn("leaks", F.array_sort(F.concat(*found)) if blocks > 1 else found[0])
+        match, shared = _matcher(spark, rows, seed, least, coverage)
+        found = match(F.coalesce(F.col("text"), F.lit("")))
+        out = docs.withColumn(column, F.array_sort(F.concat(column, found)) if b else found)
+        docs = common.table(out if b < blocks - 1 else out.drop(*without), f"{work}/{b}")
+        shared.destroy()
+        common.remove(spark, work, (f"{b}",))
+    return docs
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each leak: doc_id, item_id, tiles, covered tokens, the item's tokens and the part covered."""
-    common.shared_dir(spark)
     docs = common.source(spark, sf_dir, "documents").select("doc_id", "text")
-    return mark(docs, common.source(spark, sf_dir, "benchmark")).select("doc_id", F.explode("leaks").alias("x")).select("doc_id", "x.*")
+    return mark(docs, common.source(spark, sf_dir, "benchmark"), without=("text",)).select("doc_id", F.explode("leaks").alias("x")).select("doc_id", "x.*")

@@ -35,7 +35,8 @@ BREAKS = CLOSES_P | frozenset("b big body br center code dd dt em embed i img li
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE = frozenset("ul ol dl table div article section nav aside header footer main form td th".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_OPEN = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_QUOTED = re.compile(r"[^>\"']*+")
 _ATTR = re.compile(r"(class|id|role|data-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _ENDS = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 _WORD = re.compile(r"[A-Za-z]+")
@@ -50,14 +51,43 @@ class Node:
         self.foreign = tag in FOREIGN or parent is not None and parent.foreign and tag not in HOME
 
 
+def _tags(page: str):
+    """The page's markup from left to right: (begin, end, "/" or "", tag, its attributes as text); a comment's or a declaration's tag is empty.
+
+    A ">" in quotes ends no tag, unless so many quotes are open that none would end: from there on quotes don't count, so that the page
+    is read once. What has no end is text; a comment without one goes on to the page's end."""
+    at, last, quotes = 0, {c: page.rfind(c) for c in "\"'>"}, True
+    while m := _OPEN.search(page, at):
+        begin, at = m.start(), m.end()
+        if m[0] == "<!--":
+            end = page.find("-->", at)
+            at = len(page) if end < 0 else end + 3
+            yield begin, at, "", "", ""
+            continue
+        if begin > last[">"]:
+            return
+        end = at if quotes and m[2] else page.find(">", at)
+        while quotes and m[2]:
+            end = _QUOTED.match(page, end).end()
+            if end == len(page) or page[end] != ">" and end >= last[page[end]]:
+                quotes, end = False, page.find(">", at)
+                break
+            if page[end] == ">":
+                break
+            end = page.find(page[end], end + 1) + 1
+        yield begin, end + 1, m[1] or "", (m[2] or "").lower(), page[at:end]
+        at = end + 1
+
+
 def parse(page: str) -> list[Node]:
     """The page's block elements in page order, the root first. A node's parts: its own text and, as numbers, its children's places.
 
     Whatever the markup, nothing is refused: unknown end tags are skipped, open elements end with their parent or the page. Of elements
-    only the text of scripts, styles, text fields and titles isn't read. In svg and math "/>" ends an element.
+    only the text of scripts, styles, text fields and titles isn't read. In svg and math "/>" ends an element. Each tag is read once, and an end
+    tag or a list item looks upwards only if there is such an element.
     """
     nodes = [Node("root", frozenset(), None)]
-    now, at, links = nodes[0], 0, 0
+    now, at, links, opened = nodes[0], 0, 0, Counter()
 
     def add(text: str) -> None:
         if text:
@@ -65,29 +95,37 @@ def parse(page: str) -> list[Node]:
             if links:
                 now.link += len(text)
 
-    for m in _TAG.finditer(page):
-        if m.start() < at:
+    def leave(node: Node) -> None:
+        """What is open up to and with the node ends."""
+        nonlocal now
+        while now is not node:
+            opened[now.tag] -= 1
+            now = now.parent
+        opened[now.tag] -= 1
+        now = now.parent
+
+    for begin, end, close, tag, rest in _tags(page):
+        if begin < at:
             continue
-        add(page[at : m.start()])
-        at = m.end()
-        tag = (m[2] or "").lower()
+        add(page[at:begin])
+        at = end
         if not tag:
             continue
-        if m[1]:
+        if close:
             if tag == "a":
                 links = 0
-            elif tag not in INLINE and tag not in VOID:
+            elif opened[tag] > 0:
                 top = now
-                while top.parent is not None and top.tag != tag:
+                while top.tag != tag:
                     top = top.parent
-                if top.parent is not None:
-                    now, links = top.parent, 0
+                leave(top)
+                links = 0
             continue
         if now.foreign and tag in BREAKS:
             while now.foreign:
-                now = now.parent
+                leave(now)
             links = 0
-        empty = m[3].endswith("/") and (now.foreign or tag in FOREIGN)
+        empty = rest.endswith("/") and (now.foreign or tag in FOREIGN)
         if tag in RAW:
             if empty:
                 continue
@@ -101,28 +139,28 @@ def parse(page: str) -> list[Node]:
         if tag in INLINE or tag in VOID:
             continue
         if tag in CLOSES_P and now.tag == "p":
-            now = now.parent
+            leave(now)
         stop = SAME.get(tag)
-        if stop:
+        if stop and any(opened[t] > 0 for t in stop):
             top = now
             while top.parent is not None and top.tag not in SCOPE and top.tag not in stop:
                 top = top.parent
             if top.tag in stop and top.parent is not None:
-                now = top.parent
+                leave(top)
         names, label = [], None
-        if m[3]:
-            for a in _ATTR.finditer(m[3]):
-                value = a[2] or a[3] or a[4] or ""
-                if a[1].lower() == "data-label":
-                    label = int(value == "1")
-                else:
-                    names += [w.lower() for w in _WORD.findall(value)]
+        for a in _ATTR.finditer(rest):
+            value = a[2] or a[3] or a[4] or ""
+            if a[1].lower() == "data-label":
+                label = int(value == "1")
+            else:
+                names += [w.lower() for w in _WORD.findall(value)]
         if empty:
             continue
         node = Node(tag, frozenset(names), now, label)
         now.children.append(node)
         now.parts.append(node)
         nodes.append(node)
+        opened[tag] += 1
         now, links = node, 0
     add(page[at:])
     return nodes
@@ -285,16 +323,18 @@ def labelled_pages(n: int = PAGES, seed: int = SEED) -> list[str]:
 
 
 def main_text(pages: DataFrame, model: Model | None = None) -> DataFrame:
-    """pages with `text` and `n_chars` (code points) added. Null and empty html gives empty text; every row gives one row."""
+    """pages with `text` and `n_chars` (code points) added, without html, written to the shared folder. Null and empty html gives empty text; every
+    row gives one row, repeated ones too. Pages' own columns text and n_chars become text_input and n_chars_input."""
+    pages = common.make_room(pages, "text", "n_chars")
     shared = pages.sparkSession.sparkContext.broadcast(model or train(labelled_pages()))
 
     @F.arrow_udf("string")
     def run(page: pa.Array) -> pa.Array:
         return pa.array([extract(x, shared.value) for x in page.to_pylist()], pa.string())
 
-    return pages.withColumn("text", run("html")).withColumn("n_chars", F.length("text").cast("long"))
+    out = pages.withColumn("text", run("html")).withColumn("n_chars", F.length("text").cast("long"))
+    return common.result(out.drop("html"), common.shared_dir(pages.sparkSession))
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    common.shared_dir(spark)
-    return main_text(common.source(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+    return main_text(common.source(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")

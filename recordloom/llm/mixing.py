@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,8 +13,9 @@ from pyspark.sql import types as T
 from . import common
 
 WEIGHTS, SHARE, MAX_EPOCHS, SEED = (3, 1, 2), 1.5, 2, "mix"
-#: Hexadecimal digits of the order's key that deal a source into bins; only in one bin of a source are rows put in order.
-DIGITS = 3
+#: Rows of a bin, about: the order's key deals a source into bins by its first hexadecimal digits, as many as that needs. Only in one bin of
+#: a source are rows put in order.
+BIN_ROWS = 20_000
 
 
 @F.arrow_udf(T.LongType())
@@ -48,10 +51,13 @@ def mix(docs: DataFrame, work: str, weights=WEIGHTS, share: float = SHARE, max_e
     A source of target t takes each of its documents t // source_size times, and the rest of t, in the order of
     md5(seed:doc_id), from whole documents and a part of the last one: what it takes is its target, rounded. A null source is a
     source of its own. A null or wordless text has size 0 and gives nothing. Repeated rows count each; null ids go as an empty id.
+    Other columns are left out; an empty table gives none. What goes to one task is a row for each source.
     The order needs no sort of a source: bins by the key's first digits are summed, and only the bin where the rest ends is put in order.
     """
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    rows = common.table(docs.select("doc_id", "source", F.coalesce(n_words("text"), F.lit(0)).alias("size"), key.alias("key")), f"{work}/sizes").withColumn("bin", F.substring("key", 1, DIGITS))
+    rows = common.table(docs.select("doc_id", "source", F.coalesce(n_words("text"), F.lit(0)).alias("size"), key.alias("key")), f"{work}/sizes")
+    digits = max(3, math.ceil(math.log(max(1, rows.count() / BIN_ROWS), 16)))
+    rows = rows.withColumn("bin", F.substring("key", 1, digits))
     bins = common.table(rows.groupBy("source", "bin").agg(F.sum("size").alias("bin_size")), f"{work}/bins")
     plan = targets(bins.groupBy("source").agg(F.sum("bin_size").alias("source_size")), weights, share, max_epochs)
     total = F.floor(F.col("target") + 0.5)

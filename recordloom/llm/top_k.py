@@ -11,7 +11,7 @@ from . import common
 
 K, SCALE, EVERY = 5, 256, 50
 #: Queries that are broadcast at once (a few MB), rows of a chunk, and segments of each level.
-BLOCK, CHUNK, LEVELS = 8192, 4096, (1, 4, 16)
+BLOCK, CHUNK, LEVELS = 16384, 4096, (1, 4, 16)
 #: Below this part of survivors their products are computed one by one, above as one matrix product.
 SPARSE = 0.02
 
@@ -112,16 +112,20 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCAL
 
     A vector that is null or holds null or non-finite components takes no part, nor one without vec_id; a query meets candidates of
     its own length and other vec_id. Repeated candidate rows count each; of queries with one vec_id the least embedding asks. Products
-    beyond 64 bits are cut to the nearest. Queries go in blocks of a set size, each broadcast over all rows; each task keeps k rows a query.
+    beyond 64 bits are cut to the nearest. Queries are read once and go in blocks of a set size, one after another: a block is broadcast over
+    all rows, of which each task keeps k a query, and is dropped again. Other columns are left out.
     """
     spark = vectors.sparkSession
     sound = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    work = common.shared_dir(spark)
     asked = queries.where(sound).groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("embedding").alias("embedding"))
+    asked = common.table(asked.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")), f"{work}/asked")
     blocks = -(-asked.count() // block) or 1
     rows = vectors.where(sound).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    parts = []
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    out = None
     for n in range(blocks):
-        chosen = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == n).select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).collect()
+        chosen = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == n).collect()
         lengths = sorted({len(r["embedding"]) for r in chosen})
         own = []
         for d in lengths:
@@ -153,16 +157,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCAL
                 b = g[3]
                 yield pa.RecordBatch.from_arrays([pa.array(g[0][b.q], pa.int64()), pa.array(b.v, pa.int64()), pa.array(b.s, pa.int64())], ["query_id", "vec_id", "score"])
 
-        parts.append(rows.mapInArrow(task, "query_id long, vec_id long, score long"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        found = rows.mapInArrow(task, "query_id long, vec_id long, score long").withColumn("rank", rank).where(F.col("rank") <= k)
+        found = common.table(found.select("query_id", "rank", "vec_id", "score"), f"{work}/part{n}", CHUNK)
+        shared.destroy()
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    common.shared_dir(spark)
     rows = common.source(spark, sf_dir, "embeddings")
     return search(rows, rows.where(F.col("vec_id") % EVERY == 0))
 

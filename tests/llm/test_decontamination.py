@@ -1,6 +1,7 @@
 import random
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from recordloom.llm import common
 from recordloom.llm import decontamination as dc
@@ -49,6 +50,8 @@ def test_reordered_edited_and_clean(spark):
         got = {(r["doc_id"], x["item_id"], x["coverage"]) for r in dc.mark(df, bench, block_chars=block).collect() for x in r["leaks"]}
         assert got == {(1, 1, 1.0), (2, 1, 1.0), (7, 1, 1.0)}
     assert dc.mark(df.limit(0), bench.limit(0)).collect() == []
+    own = dc.mark(df.withColumn("Leaks", F.lit("mine")), bench).collect()
+    assert len(own) == len(docs) and {r["Leaks_input"] for r in own} == {"mine"}
 
 
 def test_no_item_is_lost_to_seeds(spark, monkeypatch):

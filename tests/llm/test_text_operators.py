@@ -131,25 +131,37 @@ def test_lm_automaton_walk_in_stretches(monkeypatch):
 
 
 def test_secrets_against_python(spark):
-    texts = ["password=abc123 token: x1 secret = \"zzzzzz\"", "AKIA" + "A" * 16 + " AKIA" + "B" * 15, "é" * 5 + "a1" * 12 + " f" * 3, None, "", "token: token: abcdefgh", "API_KEY='" + "9" * 6 + "'", "k " + hashlib.sha256(b"q").hexdigest().upper()[:40], "word " * 4000 + "passwd=0123456789"]
-    rows = _docs(spark, enumerate(texts))
+    rng = random.Random(31)
+    alphabet = secret_scan.ALPHABET
+    piece = lambda: rng.choice(["password=abc123 ", "token: x1 ", 'secret = "zzzzzz" ', "AKIA" + "A" * 16, " AKIA" + "B" * 15, "é", "a1" * 12 + " ", " f", "token: token: abcdefgh ", "API_KEY='" + "9" * 6 + "' ", "".join(rng.choice(alphabet) for _ in range(rng.randrange(15, 60))) + rng.choice([" ", "", "\n", "."]), "ordinary_words_and_identifiers ", "my_api_key="])
+    texts = ["password=abc123 token: x1 secret = \"zzzzzz\"", None, "", "k " + hashlib.sha256(b"q").hexdigest().upper()[:40], "word " * 4000 + "passwd=0123456789", ("ab" * 15 + " Qx7" * 1 + "Zk9" * 9 + " ") * 1500, "password=abc123;" * 2500]
+    texts += ["".join(piece() for _ in range(rng.randrange(1, 80))) for _ in range(150)]
+    rows = _docs(spark, enumerate(texts)).withColumns({"Spans": F.lit("own"), "_base": F.lit(1), "_text": F.lit(2)})
     weights = secret_scan.train(_docs(spark, [(1, "ordinary words stand here and there " * 20)]))
     scanned = secret_scan.scan(rows, weights)
+    assert {r["Spans_input"] for r in scanned.collect()} == {"own"}
     patterns = [(re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A), lambda m: len(m[2]) >= 6), (re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20), (re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24)]
+    run, n = re.compile("[A-Za-z0-9+/_=-]+"), len(alphabet)
+    ratio = lambda x: sum(weights[alphabet.index(a) * n + alphabet.index(b)] for a, b in zip(x, x[1:]))
     masked = {r["doc_id"]: r for r in secret_scan.redact(scanned).collect()}
+    total = 0
     for r in secret_scan.digest(scanned).collect():
         t = texts[r["doc_id"]] or ""
         base = sorted((m.start(), k, m.end()) for k, (p, ok) in enumerate(patterns) for m in p.finditer(t) if ok(m))
-        want = ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in base)
-        assert r["base_sha256"] == hashlib.sha256(want.encode()).hexdigest()
-        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(k == i for _, k, _ in base) for i in range(3))
-        assert (r["n_markov"] > 0) == (r["doc_id"] == 7)
+        model = [(m.start(), 3, m.end()) for m in run.finditer(t) if len(m[0]) >= 20 and ratio(m[0]) >= secret_scan.THRESHOLD and not any(a < m.end() and m.start() < b for a, _, b in base)]
+        say = lambda spans: ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        assert r["base_sha256"] == hashlib.sha256(say(base).encode()).hexdigest()
+        assert (r["n_assign"], r["n_access"], r["n_hex"], r["n_markov"]) == (*(sum(k == i for _, k, _ in base) for i in range(3)), len(model))
+        assert r["spans"] == say(sorted(base + model))
+        total += len(model)
         if base:
-            assert t[base[0][0] : base[0][2]] not in masked[r["doc_id"]]["text"] and masked[r["doc_id"]]["n_chars"] == len(masked[r["doc_id"]]["text"])
-    assert masked[3]["text"] is None and masked[5]["text"] == texts[5]
+            assert masked[r["doc_id"]]["n_chars"] == len(masked[r["doc_id"]]["text"]) and "[secret]" in masked[r["doc_id"]]["text"]
+    assert total > 50 and masked[1]["text"] is None and masked[2]["text"] == ""
+    assert "AKIA" not in masked[0]["text"] and (masked[0]["_base"], masked[0]["_text"]) == (1, 2)
+    assert secret_scan.digest(secret_scan.scan(rows.limit(0), secret_scan.train(rows.limit(0)))).collect() == []
 
 
-def test_mixing(spark):
+def test_mixing(spark, monkeypatch):
     rng = random.Random(2)
     rows = [(i, None if i == 5 else "w " * rng.randrange(0, 40), s) for i, s in enumerate(["a"] * 60 + ["b"] * 5 + [None] * 10 + ["c"] * 30)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -164,6 +176,12 @@ def test_mixing(spark):
     assert math.isclose(sum(aims.values()), 1.5 * sum(len((t or "").split()) for _, t, _ in rows))
     assert sorted(mixing.mix(df, common.shared_dir(spark)).collect()) == sorted(got)
     assert mixing.mix(df.limit(0), common.shared_dir(spark)).collect() == []
+    # Repeated rows, null ids and own columns: each row is one, and the bins' number changes nothing.
+    odd = df.unionByName(df.where("doc_id < 9")).unionByName(df.where("doc_id > 95").withColumn("doc_id", F.lit(None).cast("long"))).withColumns({"size": F.lit("x"), "bin": F.lit(1), "_source": F.lit(1), "target": F.lit(0), "key": F.lit(1)})
+    out = mixing.mix(odd, common.shared_dir(spark)).collect()
+    assert len(out) == odd.count() and all(0 <= r["taken"] <= 2 * r["size"] for r in out)
+    monkeypatch.setattr(mixing, "BIN_ROWS", 0.001)
+    assert sorted(map(str, mixing.mix(odd, common.shared_dir(spark)).collect())) == sorted(map(str, out))
 
 
 def test_language(spark):
@@ -216,6 +234,9 @@ def test_html(spark):
     df = spark.createDataFrame([(1, page, "x"), (2, None, "x"), (3, "", "x"), (4, "<p", "x"), (5, "<div>" * 3000 + "deep", "x")], "page_id long, html string, url string")
     rows = html_extraction.main_text(df, model).orderBy("page_id").collect()
     assert [r["n_chars"] == len(r["text"]) for r in rows] == [True] * 5 and rows[1]["text"] == "" == rows[2]["text"]
+    own = html_extraction.main_text(df.withColumns({"text": F.lit("mine"), "N_CHARS": F.lit(-1)}).unionByName(df.withColumns({"text": F.lit("mine"), "N_CHARS": F.lit(-1)})), model).collect()
+    assert len(own) == 10 and {(r["text_input"], r["N_CHARS_input"]) for r in own} == {("mine", -1)}
+    assert html_extraction.main_text(df.limit(0), model).collect() == []
     # Sum-product against the sum over all labellings of a small tree.
     import itertools
 
@@ -407,3 +428,31 @@ def test_language_against_brute_force(spark):
         else:
             assert lang == best and math.isclose(score, 1 / sum(math.exp(v - z[best]) for v in z.values()), rel_tol=1e-4)
     assert language_id.predict(df.limit(0), []).collect() == []
+
+
+def test_html_held_out_accuracy():
+    model = html_extraction.train(html_extraction.labelled_pages())
+    right = [0, 0, 0]
+    for page in html_extraction.labelled_pages(100, seed=4242):
+        nodes = html_extraction.parse(page)
+        nodes[0].label = 1
+        for n in nodes[1:]:
+            n.label = n.parent.label if n.label is None else n.label
+        for n, p in zip(nodes, html_extraction.marginals(nodes, model)):
+            own = sum(len(x) for x in n.parts if isinstance(x, str))
+            right = [right[0] + own * (p >= 0.5 and n.label), right[1] + own * (p >= 0.5), right[2] + own * n.label]
+    assert right[0] / right[1] > 0.97 and right[0] / right[2] > 0.94
+
+
+def test_html_is_read_once():
+    import time
+
+    model = html_extraction.train(html_extraction.labelled_pages(20))
+    for make in (lambda n: "<p>x</div></span></q>" * n, lambda n: "<a \"x <p 'y " * n + ">", lambda n: "<a \"\"<a ''" * n + '">"', lambda n: "<x" * n):
+        took = []
+        for n in (3000, 12_000):
+            began = time.process_time()
+            html_extraction.extract(make(n), model)
+            took.append(time.process_time() - began)
+        assert took[1] < 10 * took[0] + 0.3
+    assert html_extraction.extract('<p>one <b title="a > b">two</b> three <i x=">four</i> <p>five', model) == "one two three four five"
