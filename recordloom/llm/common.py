@@ -33,6 +33,11 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def made() -> set[str]:
+    """The folders' paths that operators have made and that aren't deleted yet."""
+    return set(_made)
+
+
 @functools.cache
 def _own_root() -> str:
     return tempfile.mkdtemp(prefix="recordloom-")

@@ -224,7 +224,7 @@ def _groups(df: pd.DataFrame) -> pd.DataFrame:
             parts = [m] if len(m) <= CUT else [np.append(m[:1], m[a : a + CUT - 1]) for a in range(1, len(m), CUT - 1)]
             members += parts
             shared += [np.array(s, np.uint64).view(np.int64) if len(s) else []] * len(parts)
-    return pd.DataFrame({"members": members, "sigs": shared})
+    return pd.DataFrame({"members": pd.Series(members, dtype=object), "sigs": pd.Series(shared, dtype=object)})
 
 
 def _check(batches):

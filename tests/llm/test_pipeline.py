@@ -1,6 +1,41 @@
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from recordloom.llm import common
+
+
+def _stages(spark, docs, sf_dir):
+    """Each stage's rows, as the driver runs them: written and read again."""
+    work = common.shared_dir(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = common.table(stage(spark, docs, sf_dir), f"{work}/{name}")
+        yield name, docs
+
+
+def test_clashing_columns_repeated_rows_and_empty_tables(spark, tmp_path):
+    extra = {c: F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))) for c in ("spans", "_base", "_p", "score", "lang_pred", "leaks", "_told", "_row", "_id", "_again", "_leaks", "_spans", "_text", "component_id", "size", "key", "bin", "taken", "n", "s", "kept")}
+    words = "the others wait there with nothing but time and water while we go on".split()
+    rng = random.Random(3)
+    text = lambda n: " ".join(rng.choice(words) + str(rng.randrange(99)) for _ in range(n))
+    rows = [(i, f"{text(40)} password=abcdef12 tail", "en", f"s{i % 2}") for i in range(20)]
+    rows += [rows[0], (None, text(30), "en", "s0"), (None, None, "en", None), (30, "", None, "s1")]
+    docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").withColumns(extra)
+    spark.createDataFrame([(1, text(30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = {"language": 22, "near_duplicates": 21, "decontaminate": 21, "secrets": 21, "mixture": 21}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for name, out in _stages(spark, docs, str(tmp_path)):
+        got = out.collect()
+        assert len(got) == want[name], name
+        if name != "mixture":
+            assert out.columns == docs.columns
+            assert all(r[c] == f"{c} of {'null' if r['doc_id'] is None else r['doc_id']}" for r in got for c in extra), name
+        if name == "secrets":
+            assert all("abcdef12" not in r["text"] and r["n_chars"] == len(r["text"]) for r in got)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+    for name, out in _stages(spark, docs.limit(0), str(tmp_path)):
+        assert out.collect() == [], name
 
 
 def test_planted_cases(spark, tmp_path):
