@@ -274,6 +274,7 @@ def join(docs: DataFrame, work: str, count_links: bool = False) -> DataFrame:
     every = common.table(docs.mapInArrow(_digests, "doc_id long, n_shingles long, key binary, sketch binary"), f"{work}/digests")
     known = every.where("key is not null and doc_id is not null")
     firsts = known.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
+    firsts = common.small(common.table(firsts, f"{work}/firsts"))
     later = known.select("key", "doc_id").join(firsts, "key").where("doc_id <> first").select(F.col("first").alias("u"), F.col("doc_id").alias("v"))
     later = common.table(later, f"{work}/copies")
     # Documents whose rows differ belong to several classes, which so become one component.
