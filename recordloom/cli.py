@@ -1,13 +1,11 @@
 """The command line: python -m recordloom COMMAND. Tables are folders of TSV parts; a result is never written over an existing one.
 
-Sizes of chunks aren't options: Spark splits files by spark.sql.files.maxPartitionBytes.
+Sizes of chunks aren't options: Spark splits files whose lines are rows by spark.sql.files.maxPartitionBytes, and reads the others a file a task.
 """
 
 from __future__ import annotations
 
 import argparse
-import os
-import shutil
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +21,9 @@ TARGETS = (2, 3)
 FAST_CLIP = 40.0
 
 
-def _absent(*paths: str) -> None:
+def _absent(spark: SparkSession, *paths: str) -> None:
     for p in paths:
-        if os.path.exists(p):
+        if tsv.exists(spark, p):
             raise FileExistsError(p)
 
 
@@ -34,12 +32,11 @@ def _lines(df: DataFrame) -> list[str]:
     return ["\t".join(df.columns), *("\t".join("" if x is None else str(x) for x in r) for r in df.orderBy(*df.columns).collect()), ""]
 
 
-def _report(lines: Iterable[str], path: str | None = None) -> None:
+def _report(lines: Iterable[str], spark: SparkSession | None = None, path: str | None = None) -> None:
     text = "\n".join(lines)
     print(text)
     if path:
-        with open(path, "x", encoding="utf-8") as f:
-            f.write(text + "\n")
+        tsv.write_text(spark, text + "\n", path)
 
 
 def records(spark: SparkSession, data_dir: str, split: str, sources: Iterable[int] = (1, 2, 3)) -> DataFrame:
@@ -77,21 +74,21 @@ def _exported(pairs: DataFrame) -> DataFrame:
 
 def clean(spark: SparkSession, a) -> None:
     staging = f"{a.output}/_staging"
-    paths = tsv.unzip(a.input, staging) if a.input.endswith(".zip") else tsv.find(a.input)
+    paths = tsv.unzip(spark, a.input, staging) if a.input.endswith(".zip") else tsv.find(spark, a.input)
     if not paths:
         raise FileNotFoundError(f"no TSV files of a split in {a.input}")
     to = {p: f"{a.output}/{tsv.cleaned_name(p)}" for p in paths}
-    _absent(*to.values())
+    _absent(spark, *to.values())
     for p, target in to.items():
-        df = cleaning.add_normalized(tsv.read(spark, p, tsv.TRUTH if "ground_truth" in os.path.basename(p) else tsv.RECORD))
+        df = cleaning.add_normalized(tsv.read(spark, p, tsv.TRUTH if "ground_truth" in p.rpartition("/")[2] else tsv.RECORD))
         tsv.write(df, target)
         _report([target, *_lines(cleaning.profile(df))])
-    shutil.rmtree(staging, ignore_errors=True)
+    tsv.delete(spark, staging)
 
 
 def inspect(spark: SparkSession, a) -> None:
     """Headers, counts and first rows of the files; of the truth what its lists hold, and its first examples with their records."""
-    paths = {os.path.basename(p): p for p in tsv.find(a.data_dir)}
+    paths = {p.rpartition("/")[2]: p for p in tsv.find(spark, a.data_dir)}
     counts = {}
     for name, p in paths.items():
         df = tsv.read(spark, p, tsv.TRUTH if "ground_truth" in name else tsv.RECORD)
@@ -112,7 +109,7 @@ def inspect(spark: SparkSession, a) -> None:
 
 def generate(spark: SparkSession, a) -> None:
     paths = _of(a.output_dir)
-    _absent(*paths.values())
+    _absent(spark, *paths.values())
     own = records(spark, a.data_dir, a.split)
     pairs = stored(blocking.candidates(stored(blocking.keys(own, a.fast_exact_only))))
     for n, path in paths.items():
@@ -122,7 +119,7 @@ def generate(spark: SparkSession, a) -> None:
             raise ValueError(f"{path} doesn't hold all pairs")
     size = evaluate.sizes(own, pairs)
     methods = pairs.groupBy("src", "blocking_method").agg(F.count("*").alias("pairs"))
-    _report([*_lines(evaluate.percentiles(evaluate.sizes(own, pairs, zero=False))), *_lines(evaluate.histogram(size)), *_lines(methods)], f"{a.output_dir}/candidate_report.txt" if os.path.isdir(a.output_dir) else None)
+    _report([*_lines(evaluate.percentiles(evaluate.sizes(own, pairs, zero=False))), *_lines(evaluate.candidate_report(own, pairs)), *_lines(evaluate.histogram(size)), *_lines(methods)], spark, f"{a.output_dir}/candidate_report.txt")
 
 
 def generate_exact(spark: SparkSession, a) -> None:
@@ -133,18 +130,18 @@ def generate_exact(spark: SparkSession, a) -> None:
 def recall(spark: SparkSession, a) -> None:
     own, true, found = records(spark, a.data_dir, "train"), truth(spark, a.data_dir), candidates(spark, _of(a.candidate_dir))
     if a.report:
-        _absent(a.report)
+        _absent(spark, a.report)
     once = stored(found.dropDuplicates(["src", "s1", "cand"]))
     missing = stored(evaluate.missing_truth(true, once, 10))
     ids = missing.select(F.explode(F.array("s1", "cand")).alias("entity_id")).distinct()
     of_missing = own.join(ids, "entity_id", "left_semi").select("src", *tsv.RECORD)
-    parts = [evaluate.recall_metrics(own, true, once), evaluate.percentiles(evaluate.sizes(own, once)), evaluate.retained_by_method(true, once), evaluate.duplicate_pairs(found), missing, of_missing]
-    _report([x for df in parts for x in _lines(df)], a.report)
+    parts = [evaluate.recall_metrics(own, true, once), evaluate.recall_report(own, true, found), evaluate.percentiles(evaluate.sizes(own, once)), evaluate.retained_by_method(true, once), evaluate.duplicate_pairs(found), missing, of_missing]
+    _report([x for df in parts for x in _lines(df)], spark, a.report)
 
 
 def train(spark: SparkSession, a) -> None:
     """Weights from the training part of source 1's records, thresholds from the validation part."""
-    _absent(a.artifact_dir)
+    _absent(spark, a.artifact_dir)
     own, true = records(spark, a.data_dir, "train"), truth(spark, a.data_dir)
     groups = model.with_group(own.where("src = 1")).select(F.col("entity_id").alias("s1"), "is_validation").distinct()
     found = candidates(spark, _of(a.candidate_dir)).dropDuplicates(["src", "s1", "cand"])
@@ -159,12 +156,12 @@ def train(spark: SparkSession, a) -> None:
     chosen = best.first()
     made.threshold = {2: chosen["t2"], 3: chosen["t3"]} if chosen else {n: 0.5 for n in TARGETS}
     model.save(spark, made, f"{a.artifact_dir}/model")
-    _report([*_lines(model.positive_weight(sample)), *_lines(best)], f"{a.artifact_dir}/validation_report.txt" if os.path.isdir(a.artifact_dir) else None)
+    _report([*_lines(model.positive_weight(sample)), *_lines(evaluate.validation_report(best))], spark, f"{a.artifact_dir}/validation_report.txt")
 
 
 def predict(spark: SparkSession, a) -> None:
     to = {c: f"{a.output_dir}/{name}.tsv" for c, name in (("matched_entity_ids", "matching_results"), ("candidate_entity_ids", "candidate_pairs"))}
-    _absent(*to.values())
+    _absent(spark, *to.values())
     if not a.skip_candidate_generation:
         generate(spark, argparse.Namespace(data_dir=a.data_dir, split="test", output_dir=a.candidate_dir, fast_exact_only=a.fast_candidates))
     own, made = records(spark, a.data_dir, "test"), model.load(spark, a.model)
@@ -172,7 +169,7 @@ def predict(spark: SparkSession, a) -> None:
     scored = stored(model.score(features.pair_features(found, own), made).select("src", "s1", "cand", "score"))
     for column, pairs in (("matched_entity_ids", decide.by_source_threshold(scored, made.threshold)), ("candidate_entity_ids", found)):
         tsv.write(output.checked(stored(output.grouped(own, pairs, column)), own), to[column], ["source1_entity_id"])
-        tsv.check_size(to[column])
+        tsv.check_size(spark, to[column])
 
 
 def _fast(spark: SparkSession, a, n: int) -> tuple[DataFrame, DataFrame]:

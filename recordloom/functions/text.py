@@ -143,8 +143,10 @@ def dice(left: Column, right: Column) -> Column:
 
 
 def common_prefix(left: Column, right: Column) -> Column:
+    """Whether the first n characters agree falls with n, so that a binary search over the powers of two finds the most."""
     both = F.least(F.length(left), F.length(right))
-    return F.when(both == 0, F.lit(0)).otherwise(F.size(F.filter(F.sequence(F.lit(1), F.greatest(both, F.lit(1))), lambda i: F.left(left, i) == F.left(right, i))))
+    powers = F.transform(F.sequence(F.floor(F.log2(F.greatest(both, F.lit(1)).cast("double"))).cast("int"), F.lit(0), F.lit(-1)), lambda e: F.pow(F.lit(2.0), e).cast("int"))
+    return F.aggregate(powers, F.lit(0), lambda n, p: F.when((n + p <= both) & (F.left(left, n + p) == F.left(right, n + p)), n + p).otherwise(n))
 
 
 def affix_ratios(left: Column, right: Column) -> tuple[Column, Column, Column, Column]:

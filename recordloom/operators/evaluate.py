@@ -48,6 +48,33 @@ def recall_metrics(records: DataFrame, truth: DataFrame, candidates: DataFrame)
     return out.withColumn("zero_rows", F.col("source1") - F.col("represented")).withColumn("recall", F.when(F.col("true_ids") > 0, F.col("retained_ids") / F.col("true_ids")))
 
 
+def recall_report(records: DataFrame, truth: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Per target source, of candidates as they were written (pairs may repeat): rows, pairs and repeats; the truth's ids, rows, and rows of which any
+    or all ids are retained, with their parts; and how many source 1 records have a candidate."""
+    pairs = candidates.groupBy("src", "s1", "cand").agg(F.count("*").alias("n"))
+    hit = truth.join(pairs.select("src", "s1", "cand", F.lit(1).alias("h")), ["src", "s1", "cand"], "left")
+    per = hit.groupBy("src", "s1").agg(F.count("*").alias("t"), F.count("h").alias("h"))
+    a = per.groupBy("src").agg(F.count("*").alias("truth_rows"), F.sum((F.col("h") > 0).cast("long")).alias("any_rows"), F.sum((F.col("h") == F.col("t")).cast("long")).alias("all_rows"), F.sum("t").alias("true_ids"), F.sum("h").alias("retained_ids"))
+    of = pairs.groupBy("src", "s1").agg(F.sum("n").alias("rows"), F.count("*").alias("pairs"))
+    b = of.groupBy("src").agg(F.sum("rows").alias("raw_rows"), F.sum("pairs").alias("pairs"), F.sum(F.col("rows") - F.col("pairs")).alias("duplicate_rows"), F.count("*").alias("represented"))
+    one = records.where("src = 1").select("entity_id").distinct().agg(F.count("*").alias("source1"))
+    out = a.join(b, "src", "full").crossJoin(F.broadcast(one)).fillna(0)
+    part = lambda x, y: F.when(F.col(y) > 0, F.col(x) / F.col(y))
+    return out.withColumns({"recall": part("retained_ids", "true_ids"), "row_recall": part("any_rows", "truth_rows"), "all_matches": part("all_rows", "truth_rows"), "represented_part": part("represented", "source1")})
+
+
+def candidate_report(records: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Per target source: source 1 records processed, those with and without a candidate, those with more than LARGE, all pairs, and the most of one."""
+    n = lambda c: F.sum(c.cast("long"))
+    return sizes(records, candidates).groupBy("src").agg(F.count("*").alias("processed"), n(F.col("n") > 0).alias("represented"), n(F.col("n") == 0).alias("zero_rows"), n(F.col("n") > LARGE).alias("large_rows"), F.sum("n").alias("pairs"), F.max("n").alias("largest"))
+
+
+def validation_report(best: DataFrame) -> DataFrame:
+    """The chosen thresholds' row of the grid with its micro precision and recall."""
+    part = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
+    return best.withColumns({"micro_precision": part("n_correct", "n_predicted"), "micro_recall": part("n_correct", "n_truth")})
+
+
 def missing_truth(truth: DataFrame, candidates: DataFrame, n: int | None = None) -> DataFrame:
     """Truth that no block retains, in order; the first n."""
     out = truth.join(candidates.select("src", "s1", "cand"), ["src", "s1", "cand"], "left_anti")
@@ -86,32 +113,51 @@ def percentiles(size: DataFrame, points=PERCENTILES) -> DataFrame:
 
 
 def threshold_search(spark: SparkSession, entities: DataFrame, truth: DataFrame, scored: DataFrame, thresholds, strategies) -> DataFrame:
-    """A row for each threshold and (strategy, top_k, margin), the best macro F0.5 first, then fewer predictions, then in the order given."""
-    out = None
-    for i, t in enumerate(thresholds):
-        for j, (strategy, k, margin) in enumerate(strategies):
-            one = summary(entity_scores(entities, truth, decide.select(scored, t, strategy, k, margin)))
-            one = one.select(F.lit(i * len(strategies) + j).alias("grid"), F.lit(float(t)).alias("threshold"), F.lit(strategy).alias("strategy"), F.lit(k).cast("int").alias("top_k"), F.lit(float(margin)).alias("margin"), "*")
-            out = one if out is None else out.unionByName(one)
-    return out.orderBy(F.desc("macro_fbeta"), "n_predicted", "grid")
+    """A row for each threshold and (strategy, top_k, margin), the best macro F0.5 first, then fewer predictions, then in the order given.
+
+    Pairs are ranked once and meet the settings, a small table, in one pass: pairs above a threshold come first by rank, whichever it is.
+    Entities without a prediction count 1 if they have no truth and else 0, and are only counted."""
+    for strategy, _, _ in strategies:
+        decide.known(strategy)
+    settings = [(i * len(strategies) + j, float(t), s, k, float(m)) for i, t in enumerate(thresholds) for j, (s, k, m) in enumerate(strategies)]
+    grid = F.broadcast(spark.createDataFrame(settings, "grid int, threshold double, strategy string, top_k int, margin double"))
+    t = truth.select("s1", "cand").distinct()
+    every = entities.select("s1").distinct().join(t.groupBy("s1").agg(F.count("*").alias("n_truth")), "s1", "left").fillna(0, ["n_truth"])
+    own = Window.partitionBy("s1")
+    pairs = scored.select("s1", "cand", "score").distinct().withColumns({"rank": F.row_number().over(own.orderBy(F.desc("score"), "cand")), "best": F.max("score").over(own)})
+    pairs = pairs.join(t.withColumn("h", F.lit(1)), ["s1", "cand"], "left").join(every, "s1")
+    within = F.when((F.col("strategy") == "top_k") & F.col("top_k").isNotNull(), F.col("rank") <= F.col("top_k")).when(F.col("strategy") == "margin", F.col("best") - F.col("score") <= F.col("margin")).otherwise(F.lit(True))
+    per = pairs.join(grid, (F.col("score") >= F.col("threshold")) & within).groupBy("grid", "s1").agg(F.count("*").alias("p"), F.count("h").alias("c"), F.first("n_truth").alias("t"))
+    of = per.groupBy("grid").agg(F.sum(fbeta(F.col("c"), F.col("p"), F.col("t"))).alias("f"), F.sum("p").alias("n_predicted"), F.sum("c").alias("n_correct"), F.count("*").alias("some"), F.sum((F.col("t") == 0).cast("long")).alias("none"))
+    totals = every.agg(F.count("*").alias("entities"), F.coalesce(F.sum("n_truth"), F.lit(0)).alias("n_truth"), F.coalesce(F.sum((F.col("n_truth") == 0).cast("long")), F.lit(0)).alias("bare"))
+    x = grid.join(of, "grid", "left").fillna(0, ["f", "n_predicted", "n_correct", "some", "none"]).join(F.broadcast(totals))
+    part = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
+    c = F.col
+    x = x.select("grid", "threshold", "strategy", "top_k", "margin", "entities", part(c("f") + c("bare") - c("none"), c("entities")).alias("macro_fbeta"), "n_predicted", "n_truth", "n_correct", part(c("some"), c("entities")).alias("nonempty_rate"), part(c("n_correct"), c("n_predicted")).alias("micro_precision"), part(c("n_correct"), c("n_truth")).alias("micro_recall"))
+    return x.orderBy(F.desc("macro_fbeta"), "n_predicted", "grid")
 
 
 def threshold_grid(spark: SparkSession, entities: DataFrame, truth: DataFrame, scored: DataFrame, thresholds) -> DataFrame:
     """The macro F0.5 of each pair of thresholds (source 2, source 3), as a cube: counts of each entity, source and threshold first.
 
-    Both sources' cubes meet on the entity, so that the work is entities * thresholds**2 with no pass over the pairs for each.
+    Only entities with a pair above the least threshold meet the thresholds, which two small tables hold; all others count the same
+    whatever the thresholds are (1 if they have no truth, else 0), and are only counted.
     """
     grid = F.broadcast(spark.createDataFrame([(i, float(t)) for i, t in enumerate(thresholds)], "i int, t double"))
-    ids = entities.select("s1").distinct()
-    hit = scored.join(truth.distinct().withColumn("h", F.lit(1)), ["src", "s1", "cand"], "left").join(ids, "s1", "left_semi")
-    cube = hit.join(grid, F.col("score") >= F.col("t")).groupBy("src", "s1", "i").agg(F.count("*").alias("p"), F.count("h").alias("c"))
     n_truth = truth.distinct().groupBy("s1").agg(F.count("*").alias("n_truth"))
-    every = ids.join(n_truth, "s1", "left").fillna(0, ["n_truth"]).join(F.broadcast(grid.select(F.col("i").alias("i2"), F.col("t").alias("t2")))).join(F.broadcast(grid.select(F.col("i").alias("i3"), F.col("t").alias("t3"))))
-    side = lambda s: cube.where(F.col("src") == s).select("s1", F.col("i").alias(f"i{s}"), F.col("p").alias(f"p{s}"), F.col("c").alias(f"c{s}"))
-    x = every.join(side(2), ["s1", "i2"], "left").join(side(3), ["s1", "i3"], "left").fillna(0, ["p2", "c2", "p3", "c3"])
-    x = x.withColumns({"n_predicted": F.col("p2") + F.col("p3"), "n_correct": F.col("c2") + F.col("c3")})
-    x = x.withColumn("f", fbeta(F.col("n_correct"), F.col("n_predicted"), F.col("n_truth")))
-    return x.groupBy("t2", "t3").agg(F.avg("f").alias("macro_fbeta"), F.sum("n_predicted").alias("n_predicted"), F.sum("n_correct").alias("n_correct"), F.sum("n_truth").alias("n_truth"))
+    every = entities.select("s1").distinct().join(n_truth, "s1", "left").fillna(0, ["n_truth"])
+    hit = scored.where(F.col("score") >= float(min(thresholds))).join(truth.distinct().withColumn("h", F.lit(1)), ["src", "s1", "cand"], "left").join(every, "s1")
+    cube = hit.join(grid, F.col("score") >= F.col("t")).groupBy("s1", "src", "i").agg(F.count("*").alias("p"), F.count("h").alias("c"), F.first("n_truth").alias("n_truth"))
+    # Per entity both sources' counts by threshold, as maps: a threshold that no pair passes is absent.
+    side = lambda s: F.map_from_entries(F.collect_list(F.when(F.col("src") == s, F.struct("i", F.struct("p", "c"))))).alias(f"m{s}")
+    some = cube.groupBy("s1").agg(F.first("n_truth").alias("n_truth"), side(2), side(3))
+    x = some.join(grid.select(F.col("i").alias("i2"), F.col("t").alias("t2"))).join(grid.select(F.col("i").alias("i3"), F.col("t").alias("t3")))
+    n = lambda s, k: F.coalesce(F.try_element_at(f"m{s}", F.col(f"i{s}"))[k], F.lit(0))
+    x = x.withColumns({"n_predicted": n(2, "p") + n(3, "p"), "n_correct": n(2, "c") + n(3, "c")})
+    of = x.groupBy("t2", "t3").agg(F.sum(fbeta(F.col("n_correct"), F.col("n_predicted"), F.col("n_truth"))).alias("f"), F.sum("n_predicted").alias("n_predicted"), F.sum("n_correct").alias("n_correct"), F.count("*").alias("some"), F.sum((F.col("n_truth") == 0).cast("long")).alias("none"))
+    totals = every.agg(F.count("*").alias("entities"), F.coalesce(F.sum("n_truth"), F.lit(0)).alias("n_truth"), F.coalesce(F.sum((F.col("n_truth") == 0).cast("long")), F.lit(0)).alias("bare"))
+    cells = grid.select(F.col("t").alias("t2")).join(grid.select(F.col("t").alias("t3"))).join(of, ["t2", "t3"], "left").fillna(0, ["f", "n_predicted", "n_correct", "some", "none"]).join(F.broadcast(totals)).where("entities > 0")
+    return cells.select("t2", "t3", ((F.col("f") + F.col("bare") - F.col("none")) / F.col("entities")).alias("macro_fbeta"), "n_predicted", "n_correct", "n_truth")
 
 
 def best_thresholds(grid: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 
-#: Their names in the order that a model's weights follow.
+# The features' names, in the order that a model's weights follow.
 NAMES = """name_exact name_char_dice name_token_jaccard name_token_overlap_min name_token_containment name_informative_overlap
 name_prefix_ratio name_suffix_ratio name_length_difference name_length_ratio name_missing_left name_missing_right
 address_exact address_char_dice address_token_jaccard address_token_overlap_min address_token_containment address_digit_overlap

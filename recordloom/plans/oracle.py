@@ -94,6 +94,9 @@ def _candidates(keys: str) -> str:
       WHERE target_count <= 50 AND (e.method NOT IN ('country_name_token', 'country_address_token') OR token_rank <= 5)) GROUP BY src, s1, cand"""
 
 
+candidates = _candidates
+
+
 def _fbeta(tp: str, p: str, n: str) -> str:
     a, b = f"({tp}::DOUBLE / {p})", f"({tp}::DOUBLE / {n})"
     return f"CASE WHEN {p} = 0 AND {n} = 0 THEN 1.0::DOUBLE WHEN {p} = 0 OR {n} = 0 OR {tp} = 0 THEN 0.0::DOUBLE ELSE 1.25::DOUBLE * {a} * {b} / (0.25::DOUBLE * {a} + {b}) END"

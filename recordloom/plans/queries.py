@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import blocking, cleaning, decide, evaluate, features, model, output
+from ..sources import tsv
 from . import oracle, views
 
 V = views
@@ -57,14 +58,13 @@ def _labelled(s, d) -> DataFrame:
 
 
 def _train(s, d) -> DataFrame:
-    sample = model.train_sample(_labelled(s, d)).select("src", "s1", "cand", "label", *features.NAMES).persist()
+    sample = model.train_sample(_labelled(s, d)).select("src", "s1", "cand", "label", *features.NAMES).transform(V.stored)
     rows = [(src, n, float(x)) for src in (2, 3) for w, b in [model.train_sgd(sample, src)] for n, x in zip([*features.NAMES, "bias"], [*w, b])]
-    sample.unpersist()
     return s.createDataFrame(rows, "src int, feature string, weight double")
 
 
 def _search(s, d) -> DataFrame:
-    scored = V.scored(s, d).select("s1", "cand", "score").persist()
+    scored = V.scored(s, d).select("s1", "cand", "score")
     return _summary(evaluate.threshold_search(s, _entities(s, d), V.truth(s, d), scored, *_SEARCH))
 
 
@@ -87,6 +87,32 @@ def _merge(s, d) -> DataFrame:
     return output.merge(output.grouped(V.raw_records(s, d), truth.where("src = 2"), "matched_entity_ids"), truth.where("src = 3"))
 
 
+def _by_name(s: SparkSession, d: str) -> DataFrame:
+    """Pairs that an equal name alone makes candidates: truth that rests on the address is missing among them."""
+    return blocking.candidates(V.stored(blocking.keys(V.records(s, d), True).where("method = 'exact_name'")))
+
+
+_BY_NAME = oracle.candidates("(SELECT * FROM fast WHERE method = 'exact_name')")
+
+
+def _report(df: DataFrame) -> DataFrame:
+    return _rounded(df, ["recall", "row_recall", "all_matches", "represented_part"])
+
+
+_RECALL_REPORT = """SELECT m.src, t.truth_rows, t.any_rows, t.all_rows, t.true_ids, t.retained_ids, m.raw_rows, m.pairs, m.raw_rows - m.pairs AS duplicate_rows, m.represented, (SELECT count(*) FROM ents) AS source1,
+    round(t.retained_ids / t.true_ids, 6) AS recall, round(t.any_rows / t.truth_rows, 6) AS row_recall, round(t.all_rows / t.truth_rows, 6) AS all_matches, round(m.represented / (SELECT count(*) FROM ents), 6) AS represented_part
+    FROM (SELECT src, count(*) AS raw_rows, count(DISTINCT (s1, cand)) AS pairs, count(DISTINCT s1) AS represented FROM (SELECT * FROM cand UNION ALL SELECT * FROM cand_fast) GROUP BY src) m
+    JOIN (SELECT src, sum(t)::BIGINT AS true_ids, sum(h)::BIGINT AS retained_ids, count(*) AS truth_rows, sum((h > 0)::INT)::BIGINT AS any_rows, sum((h = t)::INT)::BIGINT AS all_rows
+          FROM (SELECT t.src, t.s1, count(*) AS t, count(c.cand) AS h FROM truth t LEFT JOIN cand c ON t.src = c.src AND t.s1 = c.s1 AND t.cand = c.cand GROUP BY t.src, t.s1) GROUP BY src) t ON t.src = m.src"""
+
+
+def _tsv_round_trip(s: SparkSession, d: str) -> DataFrame:
+    """Records written as TSV and read again."""
+    path = V.folder(s)
+    tsv.write(V.raw_records(s, d).select(*tsv.RECORD), path)
+    return tsv.read(s, path, tsv.RECORD)
+
+
 _PRED = f"SELECT s1, cand FROM scored WHERE score >= {_CUT}::DOUBLE"
 _SCALAR = "src, s1, cand, round(score, 6) AS score"
 
@@ -140,7 +166,7 @@ QUERIES = {
         "SELECT c.src, count(*) AS pairs, count(t.cand) AS positives, round(least(20.0::DOUBLE, (count(*) - count(t.cand)) / greatest(1, count(t.cand))), 6) AS positive_weight FROM cand c LEFT JOIN truth t ON t.src = c.src AND t.s1 = c.s1 AND t.cand = c.cand GROUP BY c.src",
     ),
     "recall_metrics": (
-        lambda s, d: _rounded(evaluate.recall_metrics(V.raw_records(s, d), V.truth(s, d), V.candidates(s, d)), ["recall"]),
+        lambda s, d: _rounded(evaluate.recall_metrics(V.raw_records(s, d), V.truth(s, d), V.stored(V.candidates(s, d))), ["recall"]),
         """SELECT a.*, b.candidate_pairs, b.represented, b.largest, b.large_rows, (SELECT count(*) FROM ents) AS source1, (SELECT count(*) FROM ents) - b.represented AS zero_rows, round(a.retained_ids / a.true_ids, 6) AS recall
         FROM (SELECT src, sum(t)::BIGINT AS true_ids, sum(h)::BIGINT AS retained_ids, count(*) AS truth_rows, sum((h > 0)::INT)::BIGINT AS any_rows, sum((h = t)::INT)::BIGINT AS all_rows
               FROM (SELECT t.src, t.s1, count(*) AS t, count(c.cand) AS h FROM truth t LEFT JOIN cand c ON t.src = c.src AND t.s1 = c.s1 AND t.cand = c.cand GROUP BY t.src, t.s1) GROUP BY src) a
@@ -167,6 +193,15 @@ QUERIES = {
     "submission_matching": (lambda s, d: output.grouped(V.raw_records(s, d), decide.select(_scored(s, d), _CUT), "matched_entity_ids"), f"SELECT e.s1 AS source1_entity_id, coalesce(string_agg(p.cand, ',' ORDER BY p.cand), '') AS matched_entity_ids FROM ents e LEFT JOIN ({_PRED}) p ON p.s1 = e.s1 GROUP BY e.s1"),
     "submission_candidates": (lambda s, d: output.grouped(V.raw_records(s, d), V.candidates(s, d), "candidate_entity_ids"), "SELECT e.s1 AS source1_entity_id, coalesce(string_agg(p.cand, ',' ORDER BY p.cand), '') AS candidate_entity_ids FROM ents e LEFT JOIN cand p ON p.s1 = e.s1 GROUP BY e.s1"),
     "merge_matches": (_merge, "SELECT source1_entity_id, matched_entity_ids FROM lists"),
+    "recall_report": (lambda s, d: _report(evaluate.recall_report(V.raw_records(s, d), V.truth(s, d), V.stored(V.candidates(s, d).unionByName(V.candidates(s, d, True))))), _RECALL_REPORT),
+    "recall_missing_by_name": (lambda s, d: evaluate.missing_truth(V.truth(s, d), _by_name(s, d)), f"SELECT t.* FROM truth t ANTI JOIN ({_BY_NAME}) c ON t.src = c.src AND t.s1 = c.s1 AND t.cand = c.cand"),
+    "recall_first_missing_by_name": (lambda s, d: evaluate.missing_truth(V.truth(s, d), _by_name(s, d), 10), f"SELECT t.* FROM truth t ANTI JOIN ({_BY_NAME}) c ON t.src = c.src AND t.s1 = c.s1 AND t.cand = c.cand ORDER BY src, s1, cand LIMIT 10"),
+    "candidate_report": (
+        lambda s, d: evaluate.candidate_report(V.raw_records(s, d), V.candidates(s, d)),
+        "SELECT src, count(*) AS processed, sum((n > 0)::INT)::BIGINT AS represented, sum((n = 0)::INT)::BIGINT AS zero_rows, sum((n > 100)::INT)::BIGINT AS large_rows, sum(n)::BIGINT AS pairs, max(n) AS largest FROM size0 GROUP BY src",
+    ),
+    "validation_report": (lambda s, d: _rounded(evaluate.validation_report(evaluate.best_thresholds(_rounded(evaluate.threshold_grid(s, _entities(s, d), V.truth(s, d), _scored(s, d), _GRID), ["macro_fbeta"]))), ["micro_precision", "micro_recall"]), None),
+    "tsv_round_trip": (_tsv_round_trip, "SELECT entity_id, business_name, business_address, coalesce(country, '') AS country FROM raw"),
     "validation_split": (lambda s, d: V.raw_records(s, d).where("src = 1").select("entity_id", text.validation_group(F.col("entity_id")).alias("validation_group")), None),
     "train_logistic": (_train, None),
 }
@@ -182,6 +217,8 @@ def oracle_sql() -> dict[str, str]:
     ctes = oracle.sql("SELECT 1 FROM scored JOIN truth ON true JOIN ents ON true").rpartition("\nSELECT 1 FROM")[0]
     body = oracle.grid(_GRID).removeprefix("WITH ")
     out["threshold_grid"] = f"{ctes},\n{body}"
+    best = f"SELECT * FROM ({ctes},\n{body}) ORDER BY macro_fbeta DESC, t2, t3 LIMIT 1"
+    out["validation_report"] = f"SELECT *, round(CASE WHEN n_predicted > 0 THEN n_correct / n_predicted ELSE 0 END, 6) AS micro_precision, round(CASE WHEN n_truth > 0 THEN n_correct / n_truth ELSE 0 END, 6) AS micro_recall FROM ({best})"
     out["best_thresholds"] = f"SELECT * FROM ({ctes},\n{body}) ORDER BY macro_fbeta DESC, t2, t3 LIMIT 1"
     return out
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -12,7 +15,10 @@ from ..operators import blocking, cleaning, features, model
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; one in fewer files than there are cores is dealt out to all of them (a small file is often one row group, which is one task)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,11 +53,13 @@ def truth_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, sf_dir: str, fast: bool = False) -> DataFrame:
-    return blocking.candidates(blocking.keys(records(spark, sf_dir), fast))
+    """Candidate pairs; the keys, which they need four times, are stored once."""
+    return blocking.candidates(stored(blocking.keys(records(spark, sf_dir), fast)))
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.pair_features(candidates(spark, sf_dir), records(spark, sf_dir))
+    """Pairs with features; records and pairs are stored once, as both sides and the counts of candidates read them again."""
+    return features.pair_features(stored(candidates(spark, sf_dir)), stored(records(spark, sf_dir)))
 
 
 #: Weights by a rule, for queries that need a model but no training.
@@ -59,13 +67,24 @@ FIXED = [((i * 7) % 11 - 3) / 10 for i in range(len(features.NAMES))]
 BIAS = -2.0
 
 
+def folder(spark: SparkSession) -> str:
+    """A new folder's path under the one that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or _own_root()
+    return f"{root.rstrip('/')}/recordloom-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _own_root() -> str:
+    root = tempfile.mkdtemp(prefix="recordloom-")
+    atexit.register(shutil.rmtree, root, True)
+    return root
+
+
 def stored(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read again: else filters on a score would pull all features' expressions in again."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="recordloom-")
-    path = f"{root.rstrip('/')}/recordloom-{uuid.uuid4().hex}"
+    path = folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

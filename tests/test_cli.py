@@ -31,7 +31,7 @@ def test_from_raw_files_to_matches(spark, tmp_path):
     assert sorted(os.listdir(tmp_path / "clean")) == ["test", "train"]
     with pytest.raises(FileExistsError):
         run("clean --input @raw.zip --output @clean")
-    tsv.unzip(str(tmp_path / "raw.zip"), str(tmp_path / "raw"))
+    tsv.unzip(spark, str(tmp_path / "raw.zip"), str(tmp_path / "raw"))
     run("inspect --data-dir @raw --examples 2")
     run("generate-candidates --data-dir @clean --output-dir @cand")
     run("validate-recall --data-dir @clean --candidate-dir @cand --report @recall.txt")

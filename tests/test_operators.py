@@ -19,13 +19,31 @@ def test_tsv_round_trip(spark, tmp_path):
     assert tsv.read(spark, str(tmp_path / "a"), tsv.RECORD).count() == 1
 
 
-def test_zip_and_discovery(tmp_path):
+def test_files_of_whole_lines_are_split(spark, tmp_path):
+    line = lambda i, name: f"S1-{i}\t{name}\t{'street ' * 10}{i}\tIN\n"
+    head = "entity_id\tbusiness_name\tbusiness_address\tcountry\n"
+    kinds = {"plain": ['say ""so""', '"a ""b"" c"'], "quoted": ['"two\nlines"', "x"], "carriage": ["a\r", "b"]}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        for kind, names in kinds.items():
+            (tmp_path / kind).write_text("\ufeff" + head + "".join(line(i, names[i % 2]) for i in range(40_000)), newline="")
+            df = tsv.read(spark, str(tmp_path / kind), tsv.RECORD)
+            assert df.count() == 40_000 and df.select("entity_id").distinct().count() == 40_000
+            assert (df.rdd.getNumPartitions() > 10) == (kind == "plain")
+            if kind == "quoted":
+                assert {r[0] for r in df.select("business_name").distinct().collect()} == {"two\nlines", "x"}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_zip_and_discovery(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
         for n in ("d/dataset/train/train_source1.tsv", "__MACOSX/dataset/train/train_source1.tsv", "d/dataset/test/other.tsv", "d/dataset/train/._train_source2.tsv"):
             z.writestr(n, "entity_id\n")
-    got = tsv.unzip(str(tmp_path / "x.zip"), str(tmp_path / "s"))
+    got = tsv.unzip(spark, str(tmp_path / "x.zip"), str(tmp_path / "s"))
     assert [os.path.basename(p) for p in got] == ["train_source1.tsv"]
-    assert tsv.find(str(tmp_path / "s")) == got
+    assert tsv.find(spark, str(tmp_path / "s")) == got
     assert tsv.cleaned_name(got[0]) == os.path.join("train", "train_source1_cleaned.tsv")
 
 
