@@ -327,7 +327,7 @@ def test_quality_threshold_is_the_quantile(spark, monkeypatch):
     got = quality.classify(docs, labels, common.shared_dir(spark)).collect()
     for lang in ("en", "fr"):
         own = sorted(r["perplexity"] for r in got if r["lang"] == lang and r["doc_id"] < 160)
-        assert {r["threshold"] for r in got if r["lang"] == lang} == {own[math.ceil(0.99 * len(own)) - 1]}
+        assert {r["threshold"] for r in got if r["lang"] == lang} == {own[math.ceil(quality.QUANTILE * len(own)) - 1]}
     assert all(r["keep"] == (r["perplexity"] <= r["threshold"]) for r in got)
 
 
