@@ -37,7 +37,7 @@ def words(values: list[str]) -> Column:
 
 def casefold(c: Column) -> Column:
     """Full case folding: what folds to another single character is translated, what grows is replaced where it occurs, the rest is lower-cased."""
-    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in _MORE.items()])
+    pairs = F.expr("array(" + ", ".join(f"struct('{a}' AS a, '{b}' AS b)" for a, b in _MORE.items()) + ")")
     grown = F.aggregate(pairs, c, lambda text, p: F.replace(text, p["a"], p["b"]))
     c = F.when(c.rlike("[" + "".join(_MORE) + "]"), grown).otherwise(c)
     return F.lower(F.translate(c, "".join(_ONE), "".join(_ONE.values())))
@@ -125,8 +125,10 @@ def sorted_bigrams(folded: Column) -> Column:
 
 
 def tagged(grams: Column) -> Column:
-    """A sorted array with each element's occurrence number appended, so that a set of them is a multiset. grams must be a stored column."""
-    return F.transform(grams, lambda g, i: F.concat(g, (i + 1 - F.array_position(grams, g)).cast("string")))
+    """Each bigram of a sorted array as a number: its two characters and its occurrence (of up to 2**22 equal ones), so that a set of them is
+    a multiset and is compared as numbers. grams must be a stored column."""
+    code = lambda c, bits: F.shiftleft(F.ascii(c).cast("long"), bits)
+    return F.transform(grams, lambda g, i: code(F.left(g, F.lit(1)), 43) + code(F.right(g, F.lit(1)), 22) + (i + 1 - F.array_position(grams, g)))
 
 
 def digit_tokens(all_tokens: Column) -> Column:
@@ -137,29 +139,39 @@ def ratio(part: Column, whole: Column, empty: float = 0.0) -> Column:
     return F.when(whole > 0, part.cast("double") / whole).otherwise(F.lit(empty))
 
 
-def dice(left: Column, right: Column) -> Column:
-    """Of tagged bigrams; 0 if both are empty."""
-    return ratio(2 * F.size(F.array_intersect(left, right)), F.size(left) + F.size(right))
+def dice(left: Column, right: Column, both: Column | None = None) -> Column:
+    """Of tagged bigrams; 0 if both are empty. both: how many they share, where that is a stored column."""
+    return ratio(2 * (F.size(F.array_intersect(left, right)) if both is None else both), F.size(left) + F.size(right))
 
 
-def common_prefix(left: Column, right: Column) -> Column:
-    """Whether the first n characters agree falls with n, so that a binary search over the powers of two finds the most."""
+def _common(left: Column, right: Column, part) -> Column:
+    """Whether `part` of n characters agrees falls with n, so that a binary search over the powers of two finds the most."""
     both = F.least(F.length(left), F.length(right))
     powers = F.transform(F.sequence(F.floor(F.log2(F.greatest(both, F.lit(1)).cast("double"))).cast("int"), F.lit(0), F.lit(-1)), lambda e: F.pow(F.lit(2.0), e).cast("int"))
-    return F.aggregate(powers, F.lit(0), lambda n, p: F.when((n + p <= both) & (F.left(left, n + p) == F.left(right, n + p)), n + p).otherwise(n))
+    return F.aggregate(powers, F.lit(0), lambda n, p: F.when((n + p <= both) & (part(left, n + p) == part(right, n + p)), n + p).otherwise(n))
+
+
+def common_prefix(left: Column, right: Column) -> Column:
+    return _common(left, right, F.left)
+
+
+def common_suffix(left: Column, right: Column) -> Column:
+    return _common(left, right, F.right)
 
 
-def affix_ratios(left: Column, right: Column) -> tuple[Column, Column, Column, Column]:
-    """Common prefix and suffix, length difference and length ratio, by the longer length; (1, 1, 0, 1) for two empty texts."""
+def affix_ratios(left: Column, right: Column, prefix: Column | None = None, suffix: Column | None = None) -> tuple[Column, Column, Column, Column]:
+    """Common prefix and suffix, length difference and length ratio, by the longer length; (1, 1, 0, 1) for two empty texts. prefix, suffix:
+    the common lengths, where those are stored columns."""
     hi, lo = F.greatest(F.length(left), F.length(right)), F.least(F.length(left), F.length(right))
-    return ratio(common_prefix(left, right), hi, 1.0), ratio(common_prefix(F.reverse(left), F.reverse(right)), hi, 1.0), ratio(hi - lo, hi), ratio(lo, hi, 1.0)
+    prefix, suffix = common_prefix(left, right) if prefix is None else prefix, common_suffix(left, right) if suffix is None else suffix
+    return ratio(prefix, hi, 1.0), ratio(suffix, hi, 1.0), ratio(hi - lo, hi), ratio(lo, hi, 1.0)
 
 
-def token_ratios(left: Column, right: Column) -> tuple[Column, Column, Column]:
-    """Jaccard, overlap by the smaller set, and whether one contains the other (an empty right is contained, an empty left contains nothing)."""
-    both = F.size(F.array_intersect(left, right))
-    within = (F.size(F.array_except(left, right)) == 0) | (F.size(F.array_except(right, left)) == 0)
-    return ratio(both, F.size(F.array_union(left, right))), ratio(both, F.least(F.size(left), F.size(right))), ((F.size(left) > 0) & within).cast("double")
+def token_ratios(left: Column, right: Column, both: Column | None = None) -> tuple[Column, Column, Column]:
+    """Of sets: Jaccard, overlap by the smaller one, and whether one contains the other (an empty right is contained, an empty left contains
+    nothing). both: how many they share, where that is a stored column."""
+    both, n, m = F.size(F.array_intersect(left, right)) if both is None else both, F.size(left), F.size(right)
+    return ratio(both, n + m - both), ratio(both, F.least(n, m)), ((n > 0) & ((both == n) | (both == m))).cast("double")
 
 
 def log_count(c: Column) -> Column:

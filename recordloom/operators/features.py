@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -29,24 +29,31 @@ def of_records(df: DataFrame, side: str) -> DataFrame:
 
 
 def pair_features(candidates: DataFrame, records: DataFrame) -> DataFrame:
-    """candidates (src, s1, cand, blocking_method) with their features; records are cleaned. Pairs of unknown records are left out."""
-    count = candidates.groupBy("src", "s1").agg(F.count("*").alias("candidate_count"))
+    """candidates (src, s1, cand, blocking_method) with their features; records are cleaned. Pairs of unknown records are left out.
+
+    Pairs are dealt by s1 once, for their count and for the join; in a stated number of parts, as features cost far more than their rows are
+    wide: parts sized by bytes would be too few. A record has few pairs, by the fan-out limits."""
+    dealt = candidates.repartition(int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s1")
+    dealt = dealt.withColumn("candidate_count", F.count("*").over(Window.partitionBy("src", "s1")))
     left = of_records(records.where("src = 1"), "l").drop("src").withColumnRenamed("entity_id", "s1")
     right = of_records(records.where("src <> 1"), "r").withColumnRenamed("entity_id", "cand")
-    p = candidates.join(count, ["src", "s1"]).join(left, "s1").join(right, ["src", "cand"])
+    p = dealt.join(left, "s1").join(right, ["src", "cand"])
     l, r = (lambda c: F.col(f"{c}_l")), (lambda c: F.col(f"{c}_r"))
+    # What sets share and the texts' common ends serve several features each: columns of a projection before.
+    p = p.withColumns({f"{c}_both": F.size(F.array_intersect(l(c), r(c))) for c in ("nt", "at", "ni", "ad", "ng", "ag")} | {f"{c}_{end}": f(l(c), r(c)) for c in ("n", "a") for end, f in (("prefix", text.common_prefix), ("suffix", text.common_suffix))})
+    both = lambda c: F.col(f"{c}_both")
     flag = lambda c: c.cast("double")
     equal = lambda c: flag((l(c) != "") & (l(c) == r(c)))
     missing = lambda c: (flag(l(c) == ""), flag(r(c) == ""))
-    overlap = lambda c: text.ratio(F.size(F.array_intersect(l(c), r(c))), F.least(F.size(l(c)), F.size(r(c))))
+    affixes = lambda c: text.affix_ratios(l(c), r(c), F.col(f"{c}_prefix"), F.col(f"{c}_suffix"))
     methods = F.split("blocking_method", ",")
     has = lambda m: flag(F.array_contains(methods, m))
-    name_tokens, address_tokens = text.token_ratios(l("nt"), r("nt")), text.token_ratios(l("at"), r("at"))
+    name_tokens, address_tokens = (text.token_ratios(l(c), r(c), both(c)) for c in ("nt", "at"))
     values = [
-        equal("n"), text.dice(l("ng"), r("ng")), *name_tokens, overlap("ni"), *text.affix_ratios(l("n"), r("n")), *missing("n"),
-        equal("a"), text.dice(l("ag"), r("ag")), *address_tokens,
-        text.ratio(F.size(F.array_intersect(l("ad"), r("ad"))), F.size(F.array_union(l("ad"), r("ad")))), flag(F.arrays_overlap(l("al"), r("al"))),
-        *text.affix_ratios(l("a"), r("a")), *missing("a"), equal("c"), *missing("c"),
+        equal("n"), text.dice(l("ng"), r("ng"), both("ng")), *name_tokens, text.ratio(both("ni"), F.least(F.size(l("ni")), F.size(r("ni")))), *affixes("n"), *missing("n"),
+        equal("a"), text.dice(l("ag"), r("ag"), both("ag")), *address_tokens,
+        text.ratio(both("ad"), F.size(l("ad")) + F.size(r("ad")) - both("ad")), flag(F.arrays_overlap(l("al"), r("al"))),
+        *affixes("a"), *missing("a"), equal("c"), *missing("c"),
         has("country_exact_name"), has("exact_name"), has("country_exact_address"), has("country_name_token"), has("country_address_token"),
         text.log_count(F.col("candidate_count")),
     ]

@@ -58,10 +58,8 @@ def candidates(spark: SparkSession, sf_dir: str, fast: bool = False) -> DataFram
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs with features; pairs are stored once, as the counts of candidates read them again. Features cost far more than rows are wide, so
-    that pairs are dealt out anew: their files are few, and small sides are broadcast to them."""
-    found = stored(candidates(spark, sf_dir))
-    return features.pair_features(found.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), records(spark, sf_dir))
+    """Candidate pairs with their features."""
+    return features.pair_features(candidates(spark, sf_dir), records(spark, sf_dir))
 
 
 #: Weights by a rule, for queries that need a model but no training.
