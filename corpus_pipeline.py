@@ -35,13 +35,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     work, row = common.shared_dir(spark), common.free(docs, "_row")
     told = _rows_told_apart(docs, row, work)
     joined = jaccard_join.join(told.select(F.col(row).alias("doc_id"), "text"), f"{work}-join").select(F.col("doc_id").alias("_row"), "component_id")
-    # Only rows told apart by a hash can be alike in `row`, or stand out of order in it.
+    # Only rows told apart by a hash can be alike in `row`, or stand out of order in it; in groups without them component_id is the least.
     ids = told.where(F.col(row) >= 1 << 62).select(F.col(row).alias("_row"), "doc_id").groupBy("_row").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
     ids = common.table(ids, f"{work}/ids")
-    groups = joined.where("_row <> component_id").select("component_id").distinct()
-    members = joined.join(groups, "component_id", "left_semi").distinct().join(common.small(ids), "_row", "left").withColumn("_id", F.when(F.col("n").isNull(), F.col("_row")).otherwise(F.col("doc_id")))
+    later = joined.where("_row <> component_id")
+    mixed = common.small(common.table(joined.join(common.small(ids), "_row", "left_semi").select("component_id").distinct(), f"{work}/mixed"))
+    members = joined.join(mixed, "component_id", "left_semi").distinct().join(common.small(ids), "_row", "left").withColumn("_id", F.when(F.col("n").isNull(), F.col("_row")).otherwise(F.col("doc_id")))
     kept = members.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("s")).select("component_id", F.col("s._row").alias("kept"))
-    dropped = members.join(kept, "component_id").where("_row <> kept").select(F.col("_row").alias(row))
+    kept = common.small(common.table(kept, f"{work}/kept"))
+    dropped = later.join(mixed, "component_id", "left_anti").select(F.col("_row").alias(row)).unionByName(members.join(kept, "component_id").where("_row <> kept").select(F.col("_row").alias(row)))
     rest = told.join(common.small(common.table(dropped, f"{work}/dropped")), row, "left_anti")
     alike = common.small(ids.where("n > 1").select(F.col("_row").alias(row)))
     one = rest.join(alike, row, "left_semi").groupBy(row).agg(F.min(F.struct(*docs.columns)).alias("s")).select("s.*")
