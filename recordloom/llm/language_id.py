@@ -143,8 +143,9 @@ def predict(docs: DataFrame, blocks: list, column: str | None = None, without: t
 
 def _has_letter(text: pa.Array) -> list[bool]:
     out = []
-    for x in text.to_pylist():
-        out.append(bool(x) and (any(c.isalpha() for c in x[:64]) or any(c.isalpha() for c in x)))
+    for a in range(0, len(text), 64):
+        for x in text.slice(a, 64).to_pylist():
+            out.append(bool(x) and (any(c.isalpha() for c in x[:64]) or any(c.isalpha() for c in x)))
     return out
 
 

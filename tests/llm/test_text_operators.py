@@ -456,3 +456,24 @@ def test_html_is_read_once():
             took.append(time.process_time() - began)
         assert took[1] < 10 * took[0] + 0.3
     assert html_extraction.extract('<p>one <b title="a > b">two</b> three <i x=">four</i> <p>five', model) == "one two three four five"
+
+
+@pytest.mark.parametrize("window", [1, 5, 1 << 17])
+def test_characters_by_definition(monkeypatch, window):
+    """A row's characters begin at its first byte and at each byte that isn't a continuation; three of the bytes after a lead count."""
+    monkeypatch.setattr(common, "_WINDOW", window)
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        rows = [rng.choice(np.array([65, 0x80, 0xBF, 0xC3, 0xE2, 0xF0, 32], np.uint8), int(n)) for n in rng.integers(0, 12, int(rng.integers(0, 6)))]
+        want, firsts = [], [0]
+        for row in rows:
+            own = []
+            for k, b in enumerate(row.tolist()):
+                if k and b & 0xC0 == 0x80:
+                    own[-1].append(b)
+                else:
+                    own.append([b])
+            want += [sum(b << 8 * i for i, b in enumerate(c[:4])) for c in own]
+            firsts.append(len(want))
+        codes, first = common.characters(np.concatenate([np.zeros(0, np.uint8), *rows]), np.cumsum([0, *map(len, rows)]))
+        assert codes.tolist() == want and first.tolist() == firsts
