@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a table of narrow rows (a few numbers each) up to which it may be broadcast.
 BROADCAST_ROWS = 500_000
-#: Rows of an Arrow batch: few, as one document may be very long.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch (one row at least): few, as documents may be very long.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 _made: set[str] = set()
@@ -108,14 +108,16 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 @contextlib.contextmanager
 def batch_rows(spark: SparkSession, rows: int):
-    """While it lasts, Arrow batches have at most so many rows: for wide rows."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, rows)
+    """While it lasts, Arrow batches have at most so many rows, and no more once they have BATCH_BYTES: for wide rows."""
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
+    before = {key: spark.conf.get(key) for key in limits}
+    for key, most in limits.items():
+        spark.conf.set(key, most)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, most in before.items():
+            spark.conf.set(key, most)
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -477,3 +478,21 @@ def test_characters_by_definition(monkeypatch, window):
             firsts.append(len(want))
         codes, first = common.characters(np.concatenate([np.zeros(0, np.uint8), *rows]), np.cumsum([0, *map(len, rows)]))
         assert codes.tolist() == want and first.tolist() == firsts
+
+
+def test_batches_are_bounded_and_settings_stand_again(spark):
+    """A batch ends once it has the bytes, a text larger than that stands in it whole, and the session's limits come back."""
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = [spark.conf.get(k) for k in keys]
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    long, most = 100_000, common.BATCH_BYTES
+    with common.batch_rows(spark, 1000):
+        texts = spark.range(0, 120, 1, 1).select(F.expr(f"repeat('x', if(id = 7, {2 * most}, {long}))").alias("text"))
+        got = texts.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in got) == 120 and len(got) > 2
+    assert all(r["size"] < most + 2 * long or r["size"] > 2 * most and r["n"] <= 8 for r in got)
+    assert [spark.conf.get(k) for k in keys] == before
