@@ -1,8 +1,9 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text; perplexity against thresholds by language.
 
 The model's n-grams are of characters. Their counts, the counts of what stands before and after them, and each order's probabilities
-are sharded by n-gram and meet in joins. What is taught is bounded (TRAIN_BYTES, MOST), and so is the finished model: its n-grams,
-ordered, with the logarithms of their probabilities and of what their contexts leave, are broadcast and each document's n-grams looked up.
+are sharded by n-gram and meet in joins. All trusted texts but those held out for thresholds teach, whole. The finished model's n-grams,
+ordered, with the logarithms of their probabilities and of what their contexts leave, are broadcast and each document's n-grams looked up;
+a model of more than MOST n-grams goes in shards, one after another, and no n-gram is left out.
 """
 
 from __future__ import annotations
@@ -16,9 +17,9 @@ from . import common
 
 #: Characters of the model's longest n-grams.
 ORDER = 4
-#: Bytes of trusted text, about, that teach (documents chosen by a hash of doc_id), and n-grams of the longest order that a model has at
-#: most (else half as many bytes teach, and so on): with 12 bytes for each n-gram and context of each order, that bounds the broadcast.
-TRAIN_BYTES, MOST = 16_000_000, 1_000_000
+#: N-grams of the longest order, about, that are broadcast at once, with 12 bytes for each n-gram and context of each order. A shard has those of the
+#: two longest orders whose last character but one and the character before it have a number of that shard, and the shorter ones all.
+MOST = 1_000_000
 #: A text passes if its perplexity is at most this quantile of the trusted texts of its language that didn't teach: of CALIBRATE trusted
 #: documents one, chosen by a hash of doc_id, is held out for that. Of 0.97 and 0.99 the one with the better sum of keep and reject rates (README).
 CALIBRATE = 3
@@ -77,7 +78,12 @@ def count(texts: DataFrame) -> DataFrame:
 
 def train(texts: DataFrame, work: str) -> list[tuple]:
     """texts: (text), trusted. Returns for each order, from 1: its n-grams, ascending, with the last character's log-probability, and their
-    contexts, ascending, with the log of what they leave to the next lower order; and last the log-probability of a character never seen.
+    contexts, ascending, with the log of what they leave to the next lower order; and last the log-probability of a character never seen."""
+    return collected(*learn(texts, work))
+
+
+def learn(texts: DataFrame, work: str) -> tuple[list[DataFrame], float]:
+    """The model of `train` in tables, one for each order, from 1: (g, h, p, gamma, w), w being what shards follow from, null for orders 1 and 2.
 
     Below the highest order a count is the number of different characters seen before; each order's discounts follow from how many
     n-grams have counts of 1 to 4; an order's shards meet those of its contexts and those of the next lower order in joins.
@@ -91,18 +97,27 @@ def train(texts: DataFrame, work: str) -> list[tuple]:
     uniform = 1 / (seen + 1)
     below, out = None, []
     for k in range(1, ORDER + 1):
-        t = tables[k].select(F.col(f"g{k}").alias("g"), F.col(f"h{k}").alias("h"), "c", *([F.col(f"g{k - 1}").alias("e")] if k > 1 else []))
+        t = tables[k].select(F.col(f"g{k}").alias("g"), F.col(f"h{k}").alias("h"), "c", (F.col("h3") if k > 2 else F.lit(None).cast("long")).alias("w"), *([F.col(f"g{k - 1}").alias("e")] if k > 1 else []))
         of = t.agg(*[F.sum((F.col("c") == i).cast("long")).alias(f"n{i}") for i in range(1, 5)]).first()
         discount = _discount(F.col("c"), [of[f"n{i}"] or 0 for i in range(1, 5)])
         contexts = t.groupBy("h").agg(F.sum("c").alias("total"), F.sum(discount).alias("left"))
         p = t.join(contexts, "h").withColumns({"own": (F.col("c") - discount) / F.col("total"), "gamma": F.col("left") / F.col("total")})
         p = p.join(below, "e").withColumn("p", F.col("own") + F.col("gamma") * F.col("q")) if k > 1 else p.withColumn("p", F.col("own") + F.col("gamma") * F.lit(uniform))
-        p = common.table(p.select("g", "h", "p", "gamma"), f"{work}/p{k}")
+        p = common.table(p.select("g", "h", "p", "gamma", "w"), f"{work}/p{k}")
         below = p.select(F.col("g").alias("e"), F.col("p").alias("q"))
+        out.append(p)
+    return out, float(np.log(uniform))
+
+
+def collected(tables: list[DataFrame], unseen: float, shard: int = 0, of: int = 1) -> list[tuple]:
+    """The model in arrays, as `train` returns it; of several shards the one of that number."""
+    out = []
+    for p in tables:
+        p = p if of == 1 else p.where(F.col("w").isNull() | (F.pmod("w", F.lit(of)) == shard))
         rows = p.select("g", "h", F.log("p").cast("float").alias("p"), F.log("gamma").cast("float").alias("gamma")).toPandas()
         left, rows = rows.drop_duplicates("h").sort_values("h"), rows.sort_values("g")
         out.append((rows["g"].to_numpy(np.int64), rows["p"].to_numpy(np.float32), left["h"].to_numpy(np.int64), left["gamma"].to_numpy(np.float32)))
-    return [*out, float(np.log(uniform))]
+    return [*out, unseen]
 
 
 def _discount(c, n: list[int]):
@@ -139,29 +154,67 @@ def log_probability(grams: list[np.ndarray], contexts: list[np.ndarray], model:
     return out
 
 
+def _sums(text: pa.Array, model: list[tuple], shard: int = 0, of: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's sum of log-probabilities, by itself, over the characters that the shard answers for, and how many characters it has in all."""
+    codes, off = common.characters(*common.text_bytes(text))
+    sums = np.zeros(len(off) - 1)
+    for i, j, a, b in common.windows(off, _WINDOW):
+        if b > a:
+            lead = min(ORDER, a - int(off[i]))
+            begin = off[i:j] - (a - lead)
+            begin = begin[begin >= 0]
+            grams = _grams(codes[a - lead : b], begin)
+            contexts = [c[lead:] for c in _contexts(grams, begin)]
+            grams = [g[lead:] for g in grams]
+            if of == 1:
+                logp = log_probability(grams, contexts, model)
+            else:
+                own = contexts[2] % of == shard
+                logp = np.zeros(len(own))
+                logp[own] = log_probability([g[own] for g in grams], [c[own] for c in contexts], model)
+            sums[i:j] += common.row_sums(logp, np.clip(off[i : j + 1], a, b) - a)
+    return sums, np.diff(off)
+
+
 def perplexity(docs: DataFrame, model: list[tuple], column: str = "perplexity") -> DataFrame:
     """docs with `column` (perplexity of a character, over the whole text) added: null for null and empty texts. Each text's is summed by itself."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
     def measure(text: pa.Array) -> pa.Array:
-        model = shared.value
-        codes, off = common.characters(*common.text_bytes(text))
-        sums = np.zeros(len(off) - 1)
-        for i, j, a, b in common.windows(off, _WINDOW):
-            if b > a:
-                lead = min(ORDER, a - int(off[i]))
-                begin = off[i:j] - (a - lead)
-                begin = begin[begin >= 0]
-                grams = _grams(codes[a - lead : b], begin)
-                logp = log_probability([g[lead:] for g in grams], [c[lead:] for c in _contexts(grams, begin)], model)
-                sums[i:j] += common.row_sums(logp, np.clip(off[i : j + 1], a, b) - a)
-        size = np.diff(off)
+        sums, size = _sums(text, shared.value)
         return pa.array(np.exp(-sums / np.maximum(size, 1)), pa.float64(), mask=size == 0)
 
     return docs.withColumn(column, measure(F.coalesce(F.col("text"), F.lit(""))))
 
 
+def _shard_sums(shared, shard: int, of: int):
+    @F.arrow_udf("struct<v: double, n: long>")
+    def measure(text: pa.Array) -> pa.Array:
+        sums, size = _sums(text, shared.value, shard, of)
+        return pa.StructArray.from_arrays([pa.array(sums, pa.float64()), pa.array(size, pa.int64())], ["v", "n"])
+
+    return measure
+
+
+def perplexity_in_shards(docs: DataFrame, tables: list[DataFrame], unseen: float, of: int, work: str) -> DataFrame:
+    """(doc_id, lang, perplexity), a row for each row of docs: texts are read once for each shard of the model, and only numbers are shuffled."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    parts = None
+    for shard in range(of):
+        shared = docs.sparkSession.sparkContext.broadcast(collected(tables, unseen, shard, of))
+        part = docs.select("doc_id", "lang", F.unhex(F.md5(text.cast("binary"))).alias("m"), F.lit(shard).alias("s"), _shard_sums(shared, shard, of)(text).alias("x"))
+        part = common.table(part, f"{work}/shard{shard}")
+        shared.destroy()
+        parts = part if parts is None else parts.unionByName(part)
+    # Rows of the same id and text have the same sums; they are counted and made again.
+    own = parts.groupBy("doc_id", "lang", "m", "s").agg(F.first("x").alias("x"), F.count("*").alias("rows"))
+    own = own.groupBy("doc_id", "lang", "m").agg(F.array_sort(F.collect_list(F.struct("s", "x.v"))).alias("v"), F.first("x.n").alias("n"), F.first("rows").alias("rows"))
+    total = F.aggregate("v", F.lit(0.0), lambda t, x: t + x["v"])
+    out = own.select("doc_id", "lang", F.when(F.col("n") > 0, F.exp(-total / F.col("n"))).alias("perplexity"), F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int"))).alias("_"))
+    return out.drop("_")
+
+
 def classify(docs: DataFrame, labels: DataFrame, work: str, quantile: float = QUANTILE) -> DataFrame:
     """docs: (doc_id, text, lang), labels: (doc_id, quality, toxic). Returns doc_id, lang, perplexity, threshold and keep, a row for each row.
 
@@ -173,15 +226,14 @@ def classify(docs: DataFrame, labels: DataFrame, work: str, quantile: float = QU
     said = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.min(F.coalesce("quality", F.lit(0))).alias("_q"), F.max(F.coalesce("toxic", F.lit(0))).alias("_t")).where("_q = 1 and _t = 0").select("_id")
     said = common.table(said, f"{work}/trusted")
     held = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(CALIBRATE)) == 0
-    trusted = docs.select("doc_id", "text").join(common.small(said), F.col("doc_id") == F.col("_id"), "left_semi").where(~held)
-    total = trusted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    rate, n = min(1.0, TRAIN_BYTES / max(total, 1)), MOST + 1
-    while n > MOST:
-        taught = trusted.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(rate * (1 << 20))).select("text")
-        taught = common.table(taught, f"{work}/taught")
-        model = train(taught, work)
-        n, rate = len(model[ORDER - 1][0]), rate / 2
-    narrow = common.table(perplexity(docs, model).select("doc_id", "lang", "perplexity"), f"{work}/scored")
+    trusted = docs.select("doc_id", "text").join(common.small(said), F.col("doc_id") == F.col("_id"), "left_semi").where(~held).select("text")
+    tables, unseen = learn(trusted, work)
+    of = max(1, -(-tables[-1].count() // MOST))
+    if of == 1:
+        narrow = perplexity(docs, collected(tables, unseen)).select("doc_id", "lang", "perplexity")
+    else:
+        narrow = perplexity_in_shards(docs, tables, unseen, of, work)
+    narrow = common.table(narrow, f"{work}/scored")
     own = narrow.join(common.small(said), F.col("doc_id") == F.col("_id"), "left_semi").where("perplexity is not null")
     # Where no document was held out, those that taught must do.
     cuts = [F.coalesce(F.percentile_approx(F.when(held, F.col("perplexity")), quantile, 10_000), F.percentile_approx("perplexity", quantile, 10_000)).cast("double").alias("c")]
