@@ -11,6 +11,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +19,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 #: Rows and bytes of an Arrow batch (one row at least): few, as documents may be very long.
 BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+#: Rows of a file of narrow rows, where a result is written from rows that are there already.
+FILE_ROWS = 250_000
 
 
 _made: set[str] = set()
+_kept: dict[str, list[DataFrame]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -75,9 +79,30 @@ def table(df: DataFrame, path: str, rows: int = BATCH_ROWS) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame, work: str, rows: int = BATCH_ROWS) -> tuple[DataFrame, int]:
+    """df, computed now and kept in blocks on the executors' disks until `result` or `let_go` of the same folder, and its number of rows.
+
+    For narrow rows that several steps read. What is lost with an executor is computed again. A table has a file for each task, for each
+    of which an executor without Hadoop's native library starts processes (chmod), and one just started counts as a second JVM; blocks start none."""
+    with batch_rows(df.sparkSession, rows):
+        df = df.persist(StorageLevel.DISK_ONLY)
+        _kept.setdefault(work, []).append(df)
+        n = df.count()
+        # By its blocks alone: else plans that are built on it hold its plan, and the driver many copies of it.
+        blocks = df.sparkSession._jsparkSession.internalCreateDataFrame(df.select("*")._jdf.queryExecution().toRdd(), df._jdf.schema(), False)
+        return DataFrame(blocks, df.sparkSession), n
+
+
+def let_go(work: str) -> None:
+    """Delete what `kept` has kept for this folder."""
+    for df in _kept.pop(work, []):
+        df.unpersist()
+
+
 def result(df: DataFrame, work: str, rows: int = BATCH_ROWS) -> DataFrame:
-    """df as a table, and nothing else left in the folder `work`."""
+    """df as a table, and nothing else left in the folder `work` or kept for it."""
     out = table(df, f"{work}/result", rows)
+    let_go(work)
     remove(df.sparkSession, work, ("result",))
     return out
 

@@ -48,13 +48,14 @@ def count(texts: DataFrame) -> DataFrame:
     names = [f"{k}{n}" for k in "gh" for n in range(1, ORDER + 1)]
 
     def task(batches):
-        held: list[np.ndarray] = []
+        held: list[np.ndarray] = []  # of each window only the different n-grams, and how often they stand there
 
         def out():
             rows = np.concatenate(held, axis=1)
+            held.clear()
             _, first, at = np.unique(rows[ORDER - 1], return_index=True, return_inverse=True)
             n = np.bincount(at.ravel(), weights=rows[-1], minlength=len(first)).astype(np.int64)
-            held[:] = [np.vstack([rows[:-1, first], n])]
+            held.append(np.vstack([rows[:-1, first], n]))
 
         for batch in batches:
             codes, off = common.characters(*common.text_bytes(batch.column("text")))
@@ -63,10 +64,11 @@ def count(texts: DataFrame) -> DataFrame:
                 begin = off[i:j] - (a - lead)
                 begin = begin[begin >= 0]
                 grams = _grams(codes[a - lead : b], begin)
-                held.append(np.vstack([*grams, *_contexts(grams, begin), np.ones(b - a + lead, np.int64)])[:, lead:])
-                if sum(x.shape[1] for x in held) > 4 * _WINDOW:
+                _, first, n = np.unique(grams[-1][lead:], return_index=True, return_counts=True)
+                held.append(np.vstack([*(x[first + lead] for x in [*grams, *_contexts(grams, begin)]), n]))
+                if sum(x.shape[1] for x in held) > 2 * _WINDOW:
                     out()
-                    if held[0].shape[1] > 2 * _WINDOW:
+                    if held[0].shape[1] > _WINDOW:
                         yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], [*names, "c"])
         if held:
             out()
@@ -79,21 +81,22 @@ def count(texts: DataFrame) -> DataFrame:
 def train(texts: DataFrame, work: str) -> list[tuple]:
     """texts: (text), trusted. Returns for each order, from 1: its n-grams, ascending, with the last character's log-probability, and their
     contexts, ascending, with the log of what they leave to the next lower order; and last the log-probability of a character never seen."""
-    return collected(*learn(texts, work))
+    model = collected(*learn(texts, work))
+    common.let_go(work)
+    return model
 
 
 def learn(texts: DataFrame, work: str) -> tuple[list[DataFrame], float]:
-    """The model of `train` in tables, one for each order, from 1: (g, h, p, gamma, w), w being what shards follow from, null for orders 1 and 2.
+    """The model of `train` in tables, kept for `work`, one for each order, from 1: (g, h, p, gamma, w), w being what shards follow from, null for orders 1 and 2.
 
     Below the highest order a count is the number of different characters seen before; each order's discounts follow from how many
     n-grams have counts of 1 to 4; an order's shards meet those of its contexts and those of the next lower order in joins.
     """
-    tables = {ORDER: common.table(count(texts), f"{work}/n{ORDER}")}
+    tables = {ORDER: common.kept(count(texts), work)[0]}
     for k in range(ORDER - 1, 0, -1):
         # The n-grams that end alike differ in what stands first; a row of each keeps its context and ends.
         rest = [f"{x}{n}" for x in "gh" for n in range(1, k + 1) if (x, n) != ("g", k)]
-        tables[k] = common.table(tables[k + 1].groupBy(f"g{k}").agg(F.count("*").alias("c"), *[F.first(x).alias(x) for x in rest]), f"{work}/n{k}")
-    seen = tables[1].count()
+        tables[k], seen = common.kept(tables[k + 1].groupBy(f"g{k}").agg(F.count("*").alias("c"), *[F.first(x).alias(x) for x in rest]), work)
     uniform = 1 / (seen + 1)
     below, out = None, []
     for k in range(1, ORDER + 1):
@@ -103,7 +106,7 @@ def learn(texts: DataFrame, work: str) -> tuple[list[DataFrame], float]:
         contexts = t.groupBy("h").agg(F.sum("c").alias("total"), F.sum(discount).alias("left"))
         p = t.join(contexts, "h").withColumns({"own": (F.col("c") - discount) / F.col("total"), "gamma": F.col("left") / F.col("total")})
         p = p.join(below, "e").withColumn("p", F.col("own") + F.col("gamma") * F.col("q")) if k > 1 else p.withColumn("p", F.col("own") + F.col("gamma") * F.lit(uniform))
-        p = common.table(p.select("g", "h", "p", "gamma", "w"), f"{work}/p{k}")
+        p, _ = common.kept(p.select("g", "h", "p", "gamma", "w"), work)
         below = p.select(F.col("g").alias("e"), F.col("p").alias("q"))
         out.append(p)
     return out, float(np.log(uniform))
@@ -204,8 +207,8 @@ def perplexity_in_shards(docs: DataFrame, tables: list[DataFrame], unseen: float
     for shard in range(of):
         shared = docs.sparkSession.sparkContext.broadcast(collected(tables, unseen, shard, of))
         part = docs.select("doc_id", "lang", F.unhex(F.md5(text.cast("binary"))).alias("m"), F.lit(shard).alias("s"), _shard_sums(shared, shard, of)(text).alias("x"))
-        part = common.table(part, f"{work}/shard{shard}")
-        shared.destroy()
+        part, _ = common.kept(part, work)
+        shared.unpersist()  # not destroyed: what is lost with an executor is scored again
         parts = part if parts is None else parts.unionByName(part)
     # Rows of the same id and text have the same sums; they are counted and made again.
     own = parts.groupBy("doc_id", "lang", "m", "s").agg(F.first("x").alias("x"), F.count("*").alias("rows"))
@@ -224,7 +227,7 @@ def classify(docs: DataFrame, labels: DataFrame, work: str, quantile: float = QU
     """
     docs = docs.select("doc_id", "text", "lang")
     said = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.min(F.coalesce("quality", F.lit(0))).alias("_q"), F.max(F.coalesce("toxic", F.lit(0))).alias("_t")).where("_q = 1 and _t = 0").select("_id")
-    said = common.table(said, f"{work}/trusted")
+    said, _ = common.kept(said, work)
     held = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(CALIBRATE)) == 0
     trusted = docs.select("doc_id", "text").join(common.small(said), F.col("doc_id") == F.col("_id"), "left_semi").where(~held).select("text")
     tables, unseen = learn(trusted, work)
@@ -233,7 +236,7 @@ def classify(docs: DataFrame, labels: DataFrame, work: str, quantile: float = QU
         narrow = perplexity(docs, collected(tables, unseen)).select("doc_id", "lang", "perplexity")
     else:
         narrow = perplexity_in_shards(docs, tables, unseen, of, work)
-    narrow = common.table(narrow, f"{work}/scored")
+    narrow, rows = common.kept(narrow, work)
     own = narrow.join(common.small(said), F.col("doc_id") == F.col("_id"), "left_semi").where("perplexity is not null")
     # Where no document was held out, those that taught must do.
     cuts = [F.coalesce(F.percentile_approx(F.when(held, F.col("perplexity")), quantile, 10_000), F.percentile_approx("perplexity", quantile, 10_000)).cast("double").alias("c")]
@@ -242,7 +245,7 @@ def classify(docs: DataFrame, labels: DataFrame, work: str, quantile: float = QU
     limits = docs.sparkSession.createDataFrame(list(limits.items()), "_lang string, _own double")
     out = narrow.join(common.small(limits), F.col("lang") == F.col("_lang"), "left").withColumn("threshold", F.coalesce("_own", F.lit(every).cast("double"))).drop("_lang", "_own")
     out = out.withColumn("keep", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)))
-    return common.result(out, work)
+    return common.result(out.coalesce(max(1, -(-rows // common.FILE_ROWS))), work)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
